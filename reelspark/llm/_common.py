@@ -1,17 +1,12 @@
-"""Shared plumbing of the training-data operators: tables, the shared folder, samples, shipping code."""
+"""Shared plumbing of the training-data operators: tables, folds and samples."""
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path, materialize, ship  # noqa: F401  (for the operators)
+
 HASH_SPACE = 1 << 31
 
 
@@ -19,51 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Give every Python worker this package, whether or not it is installed there (once for each context)."""
-    sc = spark.sparkContext
-    if getattr(sc, "_reelspark_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, f"{root.name}/{p.relative_to(root)}")
-    place = os.path.join(tempfile.mkdtemp(prefix="reelspark-"), "reelspark.zip")
-    Path(place).write_bytes(buffer.getvalue())
-    sc.addPyFile(place)
-    sc._reelspark_shipped = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Only where that is unset (tests,
-    one machine) a temporary folder stands in for it."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        sc = spark.sparkContext
-        if not getattr(sc, "_reelspark_dir", None):
-            sc._reelspark_dir = "file://" + tempfile.mkdtemp(prefix="reelspark-shared-")
-        found = sc._reelspark_dir
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{label}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write and reread a table in the shared folder: lineage ends there, a lost executor costs nothing, and Spark
-    knows its true size, so that it broadcasts the table only if it is below the broadcast threshold."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def remainder(column, modulus: int):
     """crc32 of an id as text, modulo."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ._common import materialize
 from .components import components
@@ -103,13 +104,8 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     return pairs.distinct()
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), n_near, component_id.
-
-    n_near counts the other rows linked directly, those of the same fingerprint included; component_id is the smallest
-    doc_id that is reachable. Null and empty texts have fingerprint 0 and are linked like any other. Rows with a null
-    doc_id take part, but never name a component (null if no member has an id). Repeated rows count as rows; other
-    columns of ``docs`` are ignored; an empty table gives an empty result."""
+def _classes(docs: DataFrame, radius: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of every row; and for every fp its n_near, its component_id, and root, one fp of its component."""
     fps = materialize(fingerprints(docs), "fingerprints")
     classes = materialize(fps.groupBy("fp").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")), "classes")
     pairs = materialize(links(classes.select("fp"), radius, crowd), "links")
@@ -118,25 +114,43 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = roots.join(classes.select(F.col("fp").alias("node"), "first"), "node")
     heads = named.groupBy("root").agg(F.min("first").alias("head"))
-    of = named.join(heads, "root").select(F.col("node").alias("fp"), "head")
+    of = named.join(heads, "root").select(F.col("node").alias("fp"), "head", "root")
     full = classes.join(near.withColumnRenamed("a", "fp"), "fp", "left").join(of, "fp", "left").select(
-        "fp", (F.col("size") - 1 + F.coalesce(F.col("more"), F.lit(0))).alias("n_near"), F.coalesce("head", "first").alias("component_id")
-    )  # one row per class; documents of a hot class are spread by AQE's split of skewed partitions
-    full = materialize(full, "class-rows")
-    return fps.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_near", "component_id")
+        "fp", (F.col("size") - 1 + F.coalesce(F.col("more"), F.lit(0))).alias("n_near"), F.when(F.col("root").isNotNull(), F.col("head")).otherwise(F.col("first")).alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return fps, materialize(full, "class-rows")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), n_near, component_id.
 
+    n_near counts the other rows linked directly, those of the same fingerprint included; component_id is the smallest
+    doc_id that is reachable. Null and empty texts have fingerprint 0 and are linked like any other. Rows with a null
+    doc_id take part, but never name a component (null if no member has an id). Repeated rows count as rows; other
+    columns of ``docs`` are ignored; an empty table gives an empty result."""
+    fps, full = _classes(docs, radius, crowd)  # one row per class; AQE splits the documents of a hot one
+    return fps.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_near", "component_id")
 
-def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all columns of ``docs``.
 
-    Of repeated rows of that doc_id one stays; of rows without any id in their component one stays."""
-    found = near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]) if _repeats(found) else kept
+def keep_representatives(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """One row of each component, of its smallest doc_id, with all columns of ``docs``.
 
+    Of a component whose rows all lack an id, or that has rows repeated with its smallest id, one of those stays."""
+    fps, full = _classes(docs, radius, crowd)
+    found = fps.join(full, "fp")
+    n = fps.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    if n["rows"] == n["ids"]:
+        gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+        return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
-def _repeats(found: DataFrame) -> bool:
-    n = found.where("doc_id = component_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("d")).first()
-    nulls = found.where("doc_id is null").isEmpty()
-    return n["n"] != n["d"] or not nulls
+    def run(batches):
+        for batch in batches:
+            fp = np.array([fingerprint(x) for x in batch.column("_text").to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(fp)], ["_row", "fp"])
+
+    # ids don't tell the rows apart, so each is found by its fingerprint
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    carried = docs.select(row, F.col("text").cast("binary").alias("_text"))
+    schema = StructType([carried.schema["_row"], StructField("fp", LongType())])
+    kept = carried.mapInArrow(run, schema).join(full, "fp").where(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))
+    return kept.dropDuplicates(["root"]).select("_row.*")
