@@ -1,18 +1,21 @@
 """Benchmark decontamination over SimHash windows.
 
-Texts are lower-cased word sequences. Wherever a document has a 3-word shingle of a benchmark item, the window of the
-item's own length that puts the two shingles on each other is fingerprinted (a window without any common shingle has
-similarity 0 to the item, so none is lost by not forming it). Fingerprints are looked up in a multi-index: with eight
-blocks of eight bits, two fingerprints within RADIUS = 23 bits differ by two bits at most in some block, so tables of
-all blocks within two bits guarantee every item in the radius. Candidates are verified by the exact weighted Jaccard
-similarity of the two multisets of 1- to 3-word shingles. The benchmark is small, of a checked size, and is sent to all
-executors; documents are read once and never shuffled."""
+Texts are lower-cased word sequences, without punctuation. Wherever a document has a 3-word shingle of a benchmark
+item, the window of the item's own length that puts the two shingles on each other can be a copy. A window needs common
+shingles of THRESHOLD times the item's weight to be verified, so windows with less are passed over without loss, and the
+rest are fingerprinted. Fingerprints are looked up in a multi-index: with eight blocks of eight bits, two fingerprints
+within RADIUS = 23 bits differ by two bits at most in some block, so tables of all blocks within two bits guarantee
+every item in the radius. Candidates are verified by the exact weighted Jaccard similarity of the two multisets of
+shingles. The benchmark is small, of a checked size, and is sent to all executors; documents are read once and never
+shuffled."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,23 +24,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RADIUS = 23
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 #: Most bytes of benchmark text that one broadcast index may hold; a larger benchmark is taken in several passes.
 INDEX_BYTES = 32 << 20
 OUT = "doc_id long, item_ids array<long>, similarity double, matches array<struct<item_id: long, start: long, words: long, similarity: double>>"
-_WORD = re.compile(r"\w+")
+#: Punctuation beyond ASCII, and a table that turns all other ASCII but letters, digits and _ into spaces.
+_ODD = re.compile("[\u00a0-\u00bf\u00d7\u00f7\u2000-\u206f\u2190-\u2bff\u3000-\u303f\uff00-\uff0f\uff1a-\uff20]")
+_TABLE = bytes(i if i >= 128 or chr(i).isalnum() or chr(i) == "_" else 32 for i in range(256))
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    if not text:
+        return []
+    t = text.lower()
+    return (t if t.isascii() else _ODD.sub(" ", t)).encode("utf-8", "replace").translate(_TABLE).split()
 
 
-def shingles(words: list[str]) -> Counter:
-    """Multiset of 1- to 3-word shingles."""
-    out: Counter = Counter(zip(words))
-    out.update(zip(words, words[1:]))
-    out.update(zip(words, words[1:], words[2:]))
-    return out
+def shingles(words: list[bytes]) -> Counter:
+    """Multiset of 3-word shingles; of fewer words the whole sequence."""
+    return Counter(zip(words, words[1:], words[2:])) if len(words) > 2 else Counter([tuple(words)] if words else [])
 
 
 @dataclass
@@ -45,26 +50,27 @@ class Index:
     """Everything that is known of the items."""
 
     ids: list[int]
-    words: list[list[str]]
+    words: list[list[bytes]]
     idf: dict[tuple, float]
     rare: float
     bags: list[Counter] = field(default_factory=list)
     anchors: dict[tuple, list[tuple[int, int]]] = field(default_factory=dict)
+    masses: list[float] = field(default_factory=list)
     prints: np.ndarray | None = None
     near: np.ndarray | None = None
     sizes: list[int] = field(default_factory=list)
     hashes: dict[tuple, np.ndarray] = field(default_factory=dict)
 
     def weight(self, shingle: tuple) -> float:
-        """Shingles that many items share weigh little; longer ones weigh more."""
-        return self.idf.get(shingle, self.rare) * len(shingle)
+        """Shingles that many items share weigh little."""
+        return self.idf.get(shingle, self.rare)
 
     def bits(self, shingle: tuple) -> np.ndarray:
         found = self.hashes.get(shingle)
         if found is None:
             if len(self.hashes) > 200_000:
                 self.hashes.clear()
-            h = np.array([xxhash.xxh64_intdigest(" ".join(shingle), 11)], dtype="<u8")
+            h = np.array([xxhash.xxh64_intdigest(b" ".join(shingle), 11)], dtype="<u8")
             found = self.hashes[shingle] = (2.0 * np.unpackbits(h.view(np.uint8), bitorder="little") - 1) * self.weight(shingle)
         return found
 
@@ -98,6 +104,7 @@ def build(items: list[tuple[int, str]]) -> Index:
         size = min(3, len(w))
         for q in range(len(w) - size + 1):
             index.anchors.setdefault(tuple(w[q : q + size]), []).append((at, q))
+    index.masses = [sum(k * index.weight(s) for s, k in b.items()) for b in bags]
     index.sizes = sorted({len(k) for k in index.anchors})
     index.prints = np.stack([index.simhash(b) for b in bags]) if bags else np.zeros((0, 8), dtype=np.uint8)
     close = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // 8
@@ -110,14 +117,21 @@ def find(text: str | None, index: Index, radius: int = RADIUS, threshold: float
     """(item_id, first word, words, similarity): for each item its most similar window in the text, if verified."""
     words = words_of(text)
     anchors = index.anchors
-    sizes = index.sizes
+    hits: dict[int, list[tuple[int, int, float]]] = {}
+    for size in index.sizes:
+        for p, gram in [x for x in enumerate(zip(*(words[k:] for k in range(size)))) if x[1] in anchors]:
+            for at, q in anchors[gram]:
+                hits.setdefault(at, []).append((p, p - q, index.weight(gram)))
     windows: set[tuple[int, int]] = set()
-    for size in sizes:
-        if anchors.keys().isdisjoint(zip(*(words[k:] for k in range(size)))):
+    for at, found in hits.items():
+        least, n = threshold * index.masses[at] - 1e-9, min(len(index.words[at]), len(words))
+        if sum(w for _, _, w in found) < least:
             continue
-        for p, gram in enumerate(zip(*(words[k:] for k in range(size)))):
-            for at, q in anchors.get(gram, ()):
-                windows.add((max(min(p - q, len(words) - len(index.words[at])), 0), min(len(index.words[at]), len(words))))
+        places = [p for p, _, _ in found]
+        sums = [0.0, *accumulate(w for _, _, w in found)]
+        for start in {max(min(s, len(words) - n), 0) for _, s, _ in found}:
+            if sums[bisect_right(places, start + n)] - sums[bisect_left(places, start)] >= least:
+                windows.add((start, n))
     best: dict[int, tuple[float, int, int]] = {}
     for start, n in windows:
         bag = shingles(words[start : start + n])
