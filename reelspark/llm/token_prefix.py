@@ -16,6 +16,7 @@ import re
 from bisect import bisect_right
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +27,8 @@ OUT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 LIMIT = 4096
 MODEL = "piece_bpe_32k.model"
 #: Tables of parts, and tested pairs, kept by a worker; beyond that it starts anew, which changes no count.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 1_000_000
 CACHE_PAIRS = 1_000_000
-_SHORT = (2, 1)
 
 
 class PrefixCounter:
@@ -47,16 +47,16 @@ class PrefixCounter:
             raise ValueError("the model merges across or removes white space; its parts aren't independent")
         inner = {c for p in self.scores if len(p) > 1 for c in p}
         self._lone = re.compile("([^" + "".join(map(re.escape, sorted(inner))) + "])")
-        #: Pieces that encode as themselves, and, by their last three characters, the lengths to try, longest first.
+        if not all(c in self.scores for c in inner):
+            raise ValueError("a character of a piece is no piece itself")
+        #: Pieces that encode as themselves, with their numbers, in one automaton that finds all of them in a part.
         self.pieces = [p for p in self.scores if len(p) == 1 or self.merge(p) == [p]]
-        self._ids = {p: i for i, p in enumerate(self.pieces, 1)}
-        lengths: dict[str, set[int]] = {}
-        for p in self.pieces:
-            if len(p) > 2:
-                lengths.setdefault(p[-3:], set()).add(len(p))
-        self._lengths = {k: (*sorted(v, reverse=True), 2, 1) for k, v in lengths.items()}
+        self._finder = ahocorasick.Automaton()
+        for i, p in enumerate(self.pieces, 1):
+            self._finder.add_word(p, (len(p), i))
+        self._finder.make_automaton()
         self._fits: dict[int, bool] = {}
-        self._parts: dict[str, tuple[int, ...]] = {}
+        self._parts: dict[str, bytes | tuple[int, ...]] = {}
 
     def merge(self, text: str) -> list[str]:
         """The encoding as the model defines it: again and again merge the neighbours that make the best piece."""
@@ -71,42 +71,39 @@ class PrefixCounter:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def part(self, text: str) -> tuple[int, ...]:
+    def part(self, text: str) -> bytes | tuple[int, ...]:
         """Token counts at the prefixes 1..n of an independent part."""
         found = self._parts.get(text)
         if found is not None:
             return found
-        ids, fits, lengths, top = self._ids, self._fits, self._lengths, len(self._ids) + 1
-        last, count = [0], [0]  # last: the number of a prefix's last piece, 0 at the start, top for a foreign character
-        for i in range(1, len(text) + 1):
-            for size in lengths.get(text[i - 3 : i] if i > 2 else "", _SHORT):
-                if size > i:
+        if len(text) == 1 and text not in self.scores:
+            return (len(text.encode()),)  # a character that is no piece becomes its bytes
+        fits, top = self._fits, len(self.pieces) + 1
+        last, count = [0] * (len(text) + 1), [0] * (len(text) + 1)  # the number of each prefix's last piece; 0 at the start
+        for end, (size, new) in self._finder.iter(text):
+            end += 1
+            if last[end]:
+                continue
+            before = last[end - size]
+            if before:
+                key = before * top + new
+                ok = fits.get(key)
+                if ok is None:
+                    pair = [self.pieces[before - 1], self.pieces[new - 1]]
+                    ok = fits[key] = self.merge(pair[0] + pair[1]) == pair
+                if not ok:
                     continue
-                piece = text[i - size : i]
-                new = ids.get(piece)
-                if new is None:
-                    if size > 1:
-                        continue
-                    new = top
-                before = last[i - size]
-                if before and new != top and before != top:
-                    key = before * top + new
-                    ok = fits.get(key)
-                    if ok is None:
-                        pair = [self.pieces[before - 1], piece]
-                        ok = fits[key] = self.merge(pair[0] + piece) == pair
-                    if not ok:
-                        continue
-                last.append(new)
-                count.append(count[i - size] + (1 if new != top else len(piece.encode())))
-                break
-            else:
-                raise AssertionError(f"no piece ends at {i} of {text!r}")
+            elif end != size:
+                continue
+            last[end] = new
+            count[end] = count[end - size] + 1
+        if 0 in last[1:]:
+            raise AssertionError(f"no piece ends at {last.index(0, 1)} of {text!r}")
         if len(self._parts) >= CACHE_PARTS:
             self._parts.clear()
         if len(fits) >= CACHE_PAIRS:
             fits.clear()
-        out = self._parts[text] = tuple(count[1:])
+        out = self._parts[text] = bytes(count[1:]) if count[-1] < 256 else tuple(count[1:])
         return out
 
     def parts(self, text: str) -> list[str]:
