@@ -12,12 +12,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import bounded_sample, remainder
+from ._common import HASH_SPACE, remainder
 
 BITS = 14
+#: More languages than this aren't learned; it bounds the sample and the number of machines.
+MOST_LANGUAGES = 200
 #: Family of a language; one that is missing here is a family of its own.
 FAMILIES = {
     **dict.fromkeys(("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "fy", "lb"), "germanic"),
@@ -61,21 +63,25 @@ def _lower(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "replace")
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, p: LangParams) -> np.ndarray:
-    """Linear SVM (squared hinge) by dual coordinate descent; x has a bias column; classes weigh alike."""
+def _hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, width: int, p: LangParams) -> np.ndarray:
+    """Linear SVM (squared hinge) over sparse rows by dual coordinate descent. The last place is the bias; both classes
+    weigh alike."""
     n = len(y)
     cost = np.where(y > 0, n / (2 * max((y > 0).sum(), 1)), n / (2 * max((y < 0).sum(), 1))) * p.cost
-    w, a = np.zeros(x.shape[1]), np.zeros(n)
-    q = np.einsum("ij,ij->i", x, x) + 1 / (2 * cost)
+    w, a = np.zeros(width + 1), np.zeros(n)
+    q = np.array([v @ v + 1 for _, v in rows]) + 1 / (2 * cost)
     order = np.random.default_rng(7)
     for _ in range(p.epochs):
         most = 0.0
         for i in order.permutation(n):
-            g = y[i] * (x[i] @ w) - 1 + a[i] / (2 * cost[i])
-            new = max(a[i] - g / q[i], 0.0)
-            most = max(most, abs(new - a[i]))
-            w += (new - a[i]) * y[i] * x[i]
-            a[i] = new
+            k, v = rows[i]
+            g = y[i] * (v @ w[k] + w[-1]) - 1 + a[i] / (2 * cost[i])
+            step = max(a[i] - g / q[i], 0.0) - a[i]
+            if step:
+                most = max(most, abs(step))
+                a[i] += step
+                w[k] += step * y[i] * v
+                w[-1] += step * y[i]
         if most < 1e-4:
             break
     return w
@@ -89,20 +95,16 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], p: LangParams = LangPara
         members.setdefault(FAMILIES.get(lang, lang), []).append(lang)
     families = sorted(members)
     pairs = [pair for f in families for pair in combinations(members[f], 2)]
-    used = np.unique(np.concatenate([r[1] for r in rows])) if rows else np.array([], dtype=np.int64)
-    x = np.zeros((len(rows), len(used) + 1), dtype=np.float64)
-    for i, (_, k, v) in enumerate(rows):
-        x[i, np.searchsorted(used, k)] = v
-    scale = np.sqrt((x[:, :-1] ** 2).sum(axis=1).mean()) if rows else 1.0
-    x /= max(scale, 1e-12)
-    x[:, -1] = 1.0
+    scale = float(np.sqrt(np.mean([v @ v for _, _, v in rows]))) if rows else 1.0
+    x = [(k, v.astype(np.float64) / scale) for _, k, v in rows]
     lang = np.array([r[0] for r in rows])
     family = np.array([FAMILIES.get(v, v) for v in lang])
     weights = np.zeros(((1 << BITS) + 1, len(families) + len(pairs)))
 
     def put(column: int, chosen: np.ndarray, good: np.ndarray) -> None:
-        w = _hinge(x[chosen], np.where(good[chosen], 1.0, -1.0), p)
-        weights[used, column], weights[-1, column] = w[:-1] / max(scale, 1e-12), w[-1]
+        at = np.flatnonzero(chosen)
+        w = _hinge([x[i] for i in at], np.where(good[at], 1.0, -1.0), 1 << BITS, p)
+        weights[:-1, column], weights[-1, column] = w[:-1] / scale, w[-1]
 
     if len(families) > 1:
         for j, f in enumerate(families):
@@ -165,13 +167,12 @@ def train(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     """Learns from documents that aren't held out, at most ``per_language`` of each language; null or letterless texts
     and null languages teach nothing."""
     usable = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).where("_id is not null and _lang is not null").where(remainder(F.col("_id"), p.modulus) != p.held_out)
-    langs = sorted(r["_lang"] for r in usable.select("_lang").distinct().collect())
-    ids = None
-    for lang in langs:
-        part = bounded_sample(usable.where(F.col("_lang") == lang), "_id", p.per_language)
-        ids = part if ids is None else ids.union(part)
-    if ids is None:
-        return fit([], p)
+    counts = usable.groupBy("_lang").agg(F.count("*").alias("n"))  # one row for each language
+    place = F.pmod(F.xxhash64("_id"), F.lit(HASH_SPACE))
+    share = F.when(F.col("n") > p.per_language, 1.2 * p.per_language / F.col("n") + 1e-4).otherwise(1.0)
+    few = usable.join(F.broadcast(counts.where(F.length("_lang") <= 64).limit(MOST_LANGUAGES)), "_lang").where(place < F.lit(HASH_SPACE) * share)
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(place, "_id"))
+    ids = few.withColumn("_rank", rank).where(F.col("_rank") <= p.per_language).select("_id", "_lang")
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang")).where(F.col("_text").rlike(r"\p{L}"))
     rows = texts.join(F.broadcast(ids.distinct()), ["_id", "_lang"]).select("_text", "_lang").mapInArrow(_features, "lang string, k binary, v binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["k"]), bytes(r["v"])))
