@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from itertools import count
 
 import pandas as pd
@@ -24,8 +25,9 @@ from ._common import fresh_path, materialize
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
-#: Records per file: a file is read in one piece.
-FILE_RECORDS = 2_000
+#: Records per file, and bytes of blocks that a reader holds at once. A file is read by one task.
+FILE_RECORDS = 10_000
+READ_BYTES = 8 << 20
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -104,26 +106,28 @@ def records(rid: str, url: str | None, payload: bytes, digest: str, refers_to: s
 
 
 def parse(data: bytes):
-    """(headers in lower case, block) of each record of a file, plain or in gzip members."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
+    """(headers in lower case, block) of each record of a file, plain or in gzip members, one at a time."""
+    raw = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20) if data[:2] == b"\x1f\x8b" else raw
     while True:
-        while data[at : at + 2] == CRLF:
-            at += 2
-        if at >= len(data):
+        line = stream.readline()
+        while line == CRLF:
+            line = stream.readline()
+        if not line:
             return
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode("utf-8", "replace").split("\r\n")
-        if not head[0].startswith("WARC/"):
-            raise ValueError(f"no record begins at byte {at}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head[1:])}
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no record begins with {line[:20]!r}")
+        headers = {}
+        while (line := stream.readline()) != CRLF:
+            if not line.endswith(CRLF):
+                raise ValueError("the header of the last record is cut short")
+            k, _, v = line.decode("utf-8", "replace").partition(":")
+            headers[k.strip().lower()] = v.strip()
         size = int(headers["content-length"])
-        block = data[end + 4 : end + 4 + size]
+        block = stream.read(size)
         if len(block) != size:
             raise ValueError("the last record is cut short")
         yield headers, block
-        at = end + 4 + size
 
 
 def payload_of(block: bytes) -> bytes:
@@ -186,15 +190,21 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path``, as it stands."""
 
     def run(frames):
+        names = [x.split()[0] for x in _PARSED.split(", ")]
+        number = lambda h, k: int(h[k]) if k in h else None
+        table = lambda rows: pd.DataFrame(rows, columns=names).astype({"segment": "Int32", "total": "Int64"})
         for f in frames:
             for content in f["content"]:
-                rows = [
-                    (h.get("warc-record-id"), h.get("warc-type"), h.get("warc-target-uri"), (h.get("warc-payload-digest") or "").rpartition(":")[2] or None, h.get("warc-refers-to"), h.get("warc-segment-origin-id"), int(h["warc-segment-number"]) if "warc-segment-number" in h else None, int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, block)
-                    for h, block in parse(bytes(content))
-                ]
-                for at in range(0, len(rows), 500):
-                    out = pd.DataFrame(rows[at : at + 500], columns=[x.split()[0] for x in _PARSED.split(", ")])
-                    yield out.astype({"segment": "Int32", "total": "Int64"})
+                rows, held = [], 0
+                for h, block in parse(bytes(content)):
+                    digest = (h.get("warc-payload-digest") or "").rpartition(":")[2] or None
+                    rows.append((h.get("warc-record-id"), h.get("warc-type"), h.get("warc-target-uri"), digest, h.get("warc-refers-to"), h.get("warc-segment-origin-id"), number(h, "warc-segment-number"), number(h, "warc-segment-total-length"), block))
+                    held += len(block)
+                    if held >= READ_BYTES:
+                        yield table(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield table(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, _PARSED)
 
