@@ -29,6 +29,8 @@ GAMMA = 0.9
 LEAST_IMPORTANCE = 0.3
 #: A host with fewer pages on a node says nothing about it.
 LEAST_PAGES = 8
+#: A text that stands on this share of a node's pages is removed by itself, if the node has enough pages to tell.
+COMMON_SHARE, COMMON_PAGES = 0.5, 20
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -46,7 +48,10 @@ _BLOCK = frozenset(
 _CLOSES_P = _BLOCK - {"br", "body", "html", "head", "option", "optgroup", "title", "legend", "summary"}
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body article section main div td th table ul ol dl blockquote aside nav footer header form button figure".split())
-_WORD = re.compile(r"[a-z]+|\d+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+#: Parts of such names that tell enough on their own.
+_STEMS = re.compile(r"sidebar|advert|comments?$|comments?[_-]|footer|navbar|breadcrumb|newsletter|subscribe|sponsor|cookie|disqus|popup", re.I)
+_TITLED = frozenset("post entry article content story title".split())
 #: Words of class, id or role names that declare a branch to be no content.
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner banners sponsor sponsored sponsors promo promos promotion promoted "
@@ -82,8 +87,10 @@ def _declared_noise(tag: str, attributes: str, inside_main: bool) -> bool:
     if _HIDDEN.search(attributes):
         return True
     for _, value in _NAMED.findall(attributes):
-        words = _WORD.findall(value.lower())
-        if not _NOISE_WORDS.isdisjoint(words) or any(p in _NOISE_PARTS for p in zip(words, words[1:])):
+        words = [w.lower() for w in _WORD.findall(value)]
+        if not inside_main and not {"header", "masthead"}.isdisjoint(words) and _TITLED.isdisjoint(words):
+            return tag not in ("html", "body", "main", "article")
+        if _STEMS.search(value.strip("\"' ")) or not _NOISE_WORDS.isdisjoint(words) or any(p in _NOISE_PARTS for p in zip(words, words[1:])):
             if tag not in ("html", "body", "main") and not (tag == "article" and "comment" not in words and "comments" not in words):
                 return True
     return False
@@ -199,8 +206,9 @@ def host_of(url):
     return F.coalesce(F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """host, node, pages, presentation and content: the entropies of each node that holds text.
+def style_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """host, node, pages, presentation and content: the entropies of each node that holds text; and host, feature of the
+    texts that stand on most of a node's pages.
 
     Rows are counted within a batch before they are shuffled, by (host, node, kind, feature), so that a hot host is
     spread over its contents, and then once more by (host, node)."""
@@ -224,7 +232,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").alias("_html")).where("html is not null")
     counted = rows.mapInArrow(run, "host string, node long, parent long, kind long, feature long, n long")
-    features = counted.groupBy("host", "node", "parent", "kind", "feature").agg(F.sum("n").alias("n"))
+    features = materialize(counted.groupBy("host", "node", "parent", "kind", "feature").agg(F.sum("n").alias("n")), "style-features")
     logs = F.log("n")
     nodes = features.groupBy("host", "node", "parent").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
@@ -237,13 +245,18 @@ def style_tree(pages: DataFrame) -> DataFrame:
     shown = nodes.where("styled is not null").groupBy("host", F.col("node").alias("parent")).agg(F.max(F.when(m > 1, (F.log(m) - F.col("style_log") / m) / F.log(m)).otherwise(1.0)).alias("presentation"))
     leaf = nodes.where("pages is not null").withColumn("content", F.when(F.col("pages") > 1, F.col("content_log") / F.col("contents") / F.log("pages")).otherwise(0.0))
     joined = leaf.join(shown, ["host", "parent"], "left")
-    return joined.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.avg(F.coalesce("presentation", F.lit(1.0))).alias("presentation"), F.max("content").alias("content"))
+    sizes = nodes.where(F.col("pages") >= COMMON_PAGES).select("host", "node", "parent", "pages")
+    often = features.where((F.col("kind") == 1) & (F.col("n") >= COMMON_SHARE * COMMON_PAGES)).join(sizes, ["host", "node", "parent"])
+    common = often.where(F.col("n") >= COMMON_SHARE * F.col("pages")).select("host", "feature").distinct()
+    tree = joined.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.avg(F.coalesce("presentation", F.lit(1.0))).alias("presentation"), F.max("content").alias("content"))
+    return tree, common
 
 
-def unimportant(tree: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES, gamma: float = GAMMA) -> DataFrame:
-    """host and the nodes whose branches are removed on it."""
+def unimportant(tree: DataFrame, common: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES, gamma: float = GAMMA) -> DataFrame:
+    """host and what is removed on it: hashes of nodes and of texts."""
     importance = (1 - gamma) * F.col("presentation") + gamma * (1 - F.col("content"))
-    return tree.where((F.col("pages") >= least_pages) & (importance < least)).groupBy("host").agg(F.collect_set("node").alias("nodes"))
+    low = tree.where((F.col("pages") >= least_pages) & (importance < least)).select("host", "node")
+    return low.union(common.select("host", F.col("feature").alias("node"))).groupBy("host").agg(F.collect_set("node").alias("nodes"))
 
 
 def main_text(page: str | None, removed=frozenset()) -> str:
@@ -255,7 +268,8 @@ def main_text(page: str | None, removed=frozenset()) -> str:
     else:
         good = [b for b in blocks if b.link * 2 < len(b.text) or not b.link]
         blocks = good or blocks
-    kept = [b for b in blocks if b.node not in removed] or blocks
+    kept = [b for b in blocks if b.node not in removed and _hash(b.text) not in removed] if removed else blocks
+    kept = kept or blocks
     return " ".join(b.text for b in kept)
 
 
@@ -264,7 +278,7 @@ def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int
 
     A null html is an empty page. Pages without a host share the host ''. Repeated rows get a row each (and count each
     in the tree); a null page_id stays null; other columns are ignored; an empty table gives an empty result."""
-    removed = materialize(unimportant(style_tree(pages), least, least_pages), "removed-nodes")
+    removed = materialize(unimportant(*style_tree(pages), least, least_pages), "removed-nodes")
 
     def run(batches):
         for batch in batches:
