@@ -61,3 +61,29 @@ def overlay(frames: DataFrame, draw) -> DataFrame:
     """Annotated images: ``draw`` gets frames of video_id, frame_id, content and blocks and gives video_id, frame_id,
     image; the colour of a block is functions.text.confidence_color."""
     return frames.mapInPandas(draw, "video_id long, frame_id int, image binary")
+
+
+def pages(summary: DataFrame, strip: DataFrame, gaps: DataFrame, flags: DataFrame, chunks: DataFrame) -> DataFrame:
+    """video_id and html: the page of every video, made where its rows are. What a page shows of a video is gathered per
+    video, the flags only as far as they are shown."""
+    import pandas as pd
+
+    def listed(df: DataFrame, name: str, order: list[str]) -> DataFrame:
+        rest = [c for c in df.columns if c != "video_id"]
+        return df.groupBy("video_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rest if c not in order])))).alias(name))
+
+    out = summary.select("video_id", F.to_json(F.struct(*[c for c in summary.columns if c != "video_id"])).alias("_summary"))
+    parts = {"_strip": (strip, ["at_ms", "kind"]), "_gaps": (gaps, ["start_ms"]), "_flags": (flags, ["position"]), "_chunks": (chunks, ["t_start_ms"])}
+    for name, (df, order) in parts.items():
+        out = out.join(listed(df, name, order), "video_id", "left")
+
+    def run(frames):
+        import json
+
+        read = lambda x: json.loads(x) if isinstance(x, str) else []
+        for f in frames:
+            made = [page(json.loads(s), *(read(x) for x in rest)) for s, *rest in zip(f["_summary"], f["_strip"], f["_gaps"], f["_flags"], f["_chunks"])]
+            yield pd.DataFrame({"video_id": f["video_id"], "html": made})
+
+    kind = summary.schema["video_id"].dataType.simpleString()
+    return out.mapInPandas(run, f"video_id {kind}, html string")
