@@ -30,8 +30,8 @@ BLOCKS = ((0, 11), (11, 22), (22, 33), (33, 44), (44, 54), (54, 64))
 #: More classes than this in a block key, and they are linked over the points at distance one.
 CROWD = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Eight pivots, spread over the space: rows of a Hadamard code, so that any two differ in 32 bits.
-PIVOTS = tuple(sum((bin(i & r).count("1") & 1) << i for i in range(64)) for r in (1, 2, 4, 8, 16, 32, 63, 0))
+#: Sixteen pivots, spread over the space: rows of a Hadamard code, so that any two differ in 32 bits.
+PIVOTS = tuple(sum((bin(i & r).count("1") & 1) << i for i in range(64)) for r in (0, 1, 2, 4, 8, 16, 32, 63, 3, 12, 48, 21, 42, 7, 56, 27))
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -67,15 +67,18 @@ def _mask(blocks) -> int:
     return _signed(sum(((1 << b) - 1) ^ ((1 << a) - 1) for a, b in blocks))
 
 
-def pivot_table(fp) -> F.Column:
-    """Distances to the eight pivots, one byte each, in a long."""
-    parts = [F.shiftleft(F.bit_count(fp.bitwiseXOR(F.lit(_signed(p)))).cast("long"), 8 * i) for i, p in enumerate(PIVOTS)]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+def pivot_table(fp) -> list[F.Column]:
+    """Distances to the pivots, one byte each, in longs t0, t1, ... of eight."""
+    out = []
+    for at in range(0, len(PIVOTS), 8):
+        parts = [F.shiftleft(F.bit_count(fp.bitwiseXOR(F.lit(_signed(p)))).cast("long"), 8 * i) for i, p in enumerate(PIVOTS[at : at + 8])]
+        out.append(reduce(lambda a, b: a.bitwiseOR(b), parts).alias(f"t{at // 8}"))
+    return out
 
 
 def _close(a: str, b: str, radius: int):
     """The pivot test, coordinate by coordinate, then the distance itself."""
-    byte = lambda side, i: F.shiftrightunsigned(F.col(f"{side}.table"), 8 * i).bitwiseAND(F.lit(255))
+    byte = lambda side, i: F.shiftrightunsigned(F.col(f"{side}.t{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255))
     tests = [F.abs(byte(a, i) - byte(b, i)) <= radius for i in range(len(PIVOTS))]
     return reduce(lambda x, y: x & y, tests) & (F.bit_count(F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))) <= radius)
 
@@ -92,13 +95,13 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     sizes = materialize(sizes, "block-sizes")
     shared = keyed.join(sizes, "key").select("key", "fp", "n")
     shared = materialize(shared, "block-members")
-    few = shared.where(F.col("n") <= crowd).select("key", "fp", pivot_table(F.col("fp")).alias("table"))
+    few = shared.where(F.col("n") <= crowd).select("key", "fp", *pivot_table(F.col("fp")))
     pairs = few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & _close("a", "b", radius))
     pairs = pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     if not sizes.where(F.col("n") > crowd).isEmpty():
         many = shared.where(F.col("n") > crowd).select("fp").distinct()
         flips = F.explode(F.concat(F.array(F.col("fp")), F.array(*[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)])))
-        points = many.select("fp", pivot_table(F.col("fp")).alias("table"), flips.alias("point"))
+        points = many.select("fp", *pivot_table(F.col("fp")), flips.alias("point"))
         met = points.alias("a").join(points.alias("b"), (F.col("a.point") == F.col("b.point")) & (F.col("a.fp") < F.col("b.fp")) & _close("a", "b", radius))
         pairs = pairs.union(met.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))
     return pairs.distinct()
