@@ -32,16 +32,16 @@ def scene_membership(groups: DataFrame) -> DataFrame:
 
 
 def find_chapter(groups: DataFrame, chapters: DataFrame, key: str = "grp") -> DataFrame:
-    """video_id, key, chapter_index, chapter_title: the first chapter that holds t_start_ms, else the last one of the
+    """The groups with chapter_index and chapter_title: the first chapter that holds t_start_ms, else the last one of the
     video; without chapters 0 and Unknown."""
     points = groups.select("video_id", key, "t_start_ms", F.col("t_start_ms").alias("_end"))
     spans = chapters.select("video_id", "chapter_index", F.col("title").alias("chapter_title"), "start_ms", F.col("end_ms").alias("ch_end"))
     inside = interval_join(spans, points, "video_id", ("start_ms", "ch_end"), ("t_start_ms", "_end"), "half_open", bucket_ms=600_000)
     best = inside.groupBy("video_id", key).agg(F.min("chapter_index").alias("_ci"), F.min_by("chapter_title", "chapter_index").alias("_ct"))
     last = chapters.groupBy("video_id").agg(F.max("chapter_index").alias("_li"), F.max_by("title", "chapter_index").alias("_lt"))
-    out = groups.select("video_id", key).join(best, ["video_id", key], "left").join(last, "video_id", "left")
+    out = groups.join(best, ["video_id", key], "left").join(last, "video_id", "left")
     index = F.coalesce("_ci", "_li", F.lit(0)).cast("int").alias("chapter_index")
-    return out.select("video_id", key, index, F.coalesce("_ct", "_lt", F.lit("Unknown")).alias("chapter_title"))
+    return out.select(*groups.columns, index, F.coalesce("_ct", "_lt", F.lit("Unknown")).alias("chapter_title"))
 
 
 def join_segments(groups: DataFrame, segments: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def build_chunks(scenes: DataFrame, segments: DataFrame, keyframes: DataFrame, c
     groups = merge_scenes(scenes, config)
     speech = ordered_text(join_segments(groups, segments), ["video_id", "grp"], "seg_ix", "text", "asr_text").withColumnRenamed("n", "n_segments")
     frames = join_keyframes(groups, keyframes).groupBy("video_id", "grp").agg(F.array_sort(F.collect_list(F.struct("frame_id", "filename"))).alias("_f"))
-    out = groups.join(find_chapter(groups, chapters), ["video_id", "grp"]).join(speech, ["video_id", "grp"], "left").join(frames, ["video_id", "grp"], "left")
+    out = find_chapter(groups, chapters).join(speech, ["video_id", "grp"], "left").join(frames, ["video_id", "grp"], "left")
     empty = F.array().cast("array<struct<frame_id:int,filename:string>>")
     f = F.coalesce(F.col("_f").cast("array<struct<frame_id:int,filename:string>>"), empty)
     return out.select(

@@ -45,14 +45,15 @@ def dedup_sequential(frames: DataFrame, overlap: float = 0.9, group: str = "vide
 
 
 def clean_frames(blocks: DataFrame, chrome: DataFrame) -> DataFrame:
-    """video_id, frame_id, text: each frame's text in reading order without blocks of chrome tokens only."""
-    words = blocks.select("video_id", "frame_id", "block_ix", F.explode(T.tokens(F.col("text"))).alias("token"))
-    content = words.join(chrome.select("video_id", "token"), ["video_id", "token"], "left_anti").select("video_id", "frame_id", "block_ix").distinct()
-    kept = blocks.join(content, ["video_id", "frame_id", "block_ix"], "left_semi")
-    texts = F.array_sort(F.collect_list(F.struct("y", "x", "block_ix", "text")))
-    made = kept.groupBy("video_id", "frame_id").agg(F.array_join(F.transform(texts, lambda b: b["text"]), " ").alias("text"))
-    every = blocks.select("video_id", "frame_id").distinct()
-    return every.join(made, ["video_id", "frame_id"], "left").select("video_id", "frame_id", F.coalesce("text", F.lit("")).alias("text"))
+    """video_id, frame_id, text: each frame's text in reading order without blocks of chrome tokens only.
+
+    A video's chrome is one array (no longer than a frame has tokens, on average, by 1 / share), so no token is ever
+    exploded or shuffled here; grouping by frame reuses the partitioning by video."""
+    per_video = chrome.groupBy("video_id").agg(F.collect_list("token").alias("_chrome"))
+    none = F.array().cast("array<string>")
+    told = blocks.join(per_video, "video_id", "left").withColumn("_content", F.size(F.array_except(T.tokens(F.col("text")), F.coalesce("_chrome", none))) > 0)
+    kept = F.array_sort(F.collect_list(F.when(F.col("_content"), F.struct("y", "x", "block_ix", "text"))))
+    return told.groupBy("video_id", "frame_id").agg(F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"))
 
 
 def chunk_text(chunk_frames: DataFrame, cleaned: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")) -> DataFrame:
