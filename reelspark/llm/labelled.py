@@ -29,7 +29,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, only=None, bound: int = SA
     named = labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_y")).where("_id is not null and _y is not null")
     if only is not None:
         named = named.where(only(F.col("_id")))
-    ids = bounded_sample(named.groupBy("_id").agg(F.min("_y").alias("_y")), "_id", bound)
+    ids = bounded_sample(named, "_id", bound, "_y").groupBy("_id").agg(F.min("_y").alias("_y"))  # sampled before it is shuffled
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("binary").alias("_text"))
     rows = texts.join(F.broadcast(ids), "_id").select("_text", "_y").mapInArrow(_measure, "y int, c binary").collect()
     rows.sort(key=lambda r: (bytes(r["c"]), r["y"]))
