@@ -13,6 +13,8 @@ _LETTER = bytes(range(97, 123)) + _UPPER
 _CONT = bytes(range(0x80, 0xC0))
 _END = (b".", b"!", b"?", b":", b'"', b"\xe3\x80\x82", b"\xe2\x80\xa6")
 
+#: Texts of more words than this are handled in arrays.
+LONG_WORDS = 200_000
 #: What ``counts`` returns, in this order.
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes", "n_upper", "n_digits",
@@ -27,6 +29,8 @@ RATIOS = (
 
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a 3-word window which occurs twice or more."""
+    if len(words) > LONG_WORDS:
+        return _repeated_in_long(words)
     windows = list(zip(words, words[1:], words[2:]))
     if len(set(windows)) == len(windows):
         return 0
@@ -39,6 +43,19 @@ def repeated_words(words: list[bytes]) -> int:
     return covered
 
 
+def _repeated_in_long(words: list[bytes]) -> int:
+    """The same over arrays of word numbers, which take a fraction of the memory."""
+    known: dict[bytes, int] = {}
+    ids = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
+    pair = np.unique(ids[:-2] * len(known) + ids[1:-1], return_inverse=True)[1].reshape(-1)
+    _, which, times = np.unique(pair * len(known) + ids[2:], return_inverse=True, return_counts=True)
+    starts = np.flatnonzero(times[which.reshape(-1)] > 1)
+    hit = np.zeros(len(words), dtype=bool)
+    for k in range(3):
+        hit[starts + k] = True
+    return int(hit.sum())
+
+
 def counts(text: bytes | None) -> tuple[int, ...]:
     """The statistics of one text; a null text has no words."""
     b = text or b""

@@ -53,12 +53,21 @@ class LangModel:
 
 
 def codes(text: bytes) -> np.ndarray:
-    """Buckets of the byte trigrams of a text with a space on either side."""
-    a = np.frombuffer(b" " + text + b" ", dtype=np.uint8).astype(np.uint32)
+    """Buckets of the byte trigrams of a text."""
+    a = np.frombuffer(text, dtype=np.uint8).astype(np.uint32)
     x = a[:-2] | a[1:-1] << np.uint32(8) | a[2:] << np.uint32(16)
     return (x * np.uint32(2654435761)) >> np.uint32(32 - BITS)
 
 
+def histogram(text: bytes, piece: int = 1 << 20) -> np.ndarray:
+    """How often each bucket occurs in a text; long texts go piece by piece."""
+    out = np.zeros(1 << BITS, dtype=np.int64)
+    padded = b" " + text + b" "
+    for at in range(0, len(padded) - 2, piece):
+        out += np.bincount(codes(padded[at : at + piece + 2]), minlength=1 << BITS)
+    return out
+
+
 def _lower(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "replace")
 
@@ -119,8 +128,8 @@ def margins(texts: list[str | None], model: LangModel) -> np.ndarray:
     out = np.empty((len(texts), model.weights.shape[1]))
     w = np.ascontiguousarray(model.weights[:-1])
     for i, t in enumerate(texts):
-        share = np.bincount(c := codes(_lower(t)), minlength=1 << BITS)
-        out[i] = share @ w / len(c)
+        n = histogram(_lower(t))
+        out[i] = n @ w / max(n.sum(), 1)
     return out + model.weights[-1]
 
 
@@ -156,10 +165,10 @@ def _features(batches):
     for batch in batches:
         ks, vs = [], []
         for t in batch.column("_text").to_pylist():
-            c = codes(_lower(t))
-            k, n = np.unique(c, return_counts=True)
+            n = histogram(_lower(t))
+            k = np.flatnonzero(n)
             ks.append(k.astype(np.int32))
-            vs.append((n / len(c)).astype(np.float32))
+            vs.append((n[k] / max(n.sum(), 1)).astype(np.float32))
         yield pa.RecordBatch.from_arrays([batch.column("_lang"), pa.array([k.tobytes() for k in ks], pa.binary()), pa.array([v.tobytes() for v in vs], pa.binary())], ["lang", "k", "v"])
 
 

@@ -39,13 +39,17 @@ def fingerprint(text: bytes | None) -> int:
     words = (text or b"").translate(_LOWER).split()
     if not words:
         return 0
-    shingles = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [b" ".join(words)]
-    h = xxhash.xxh64_intdigest
-    hashes = np.array([h(s, SEED) for s in shingles], dtype="<u8")
-    total = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        total += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
+    if len(words) < 3:
+        words = [b" ".join(words), b"", b""]  # a single shingle
+        joined = lambda a, b, c: a
+    else:
+        joined = lambda a, b, c: b"%b %b %b" % (a, b, c)
+    total, n, h = np.zeros(64, dtype=np.int64), len(words) - 2, xxhash.xxh64_intdigest
+    for at in range(0, n, 1 << 16):
+        part = words[at : at + (1 << 16) + 2]
+        hashes = np.array([h(joined(*s), SEED) for s in zip(part, part[1:], part[2:])], dtype="<u8")
+        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,10 @@ LEAST_PAGES = 8
 #: A text that stands on this share of a node's pages is removed by itself, if the node has enough pages to tell.
 COMMON_SHARE, COMMON_PAGES = 0.5, 20
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
+#: Elements within more others than this are read as part of the one around them.
+MOST_DEPTH = 300
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*>|[^<]+|<", re.S)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,13 +185,15 @@ def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
         noise = top[2] or _declared_noise(tag, attributes, top[3])
         main = (top[3] or tag in ("article", "main") or 'role="main"' in attributes) and not noise
         if tag in _RAW:
-            end = page.lower().find(f"</{tag}", at) if len(page) < 1 << 16 else _find_end(page, tag, at)
+            end = _find_end(page, tag, at)
             at = size if end < 0 else end
             if tag in ("title", "noscript", "textarea", "iframe", "script", "style") or noise:
                 end = page.find(">", at)
                 at = size if end < 0 else end + 1
                 continue
-        path = f"{top[1]}/{name}" if len(stack) < 200 else top[1]
+        if len(stack) >= MOST_DEPTH:
+            continue
+        path = f"{top[1]}/{name}"
         stack.append((tag, path, noise, main, _hash(path), []))
     flush()
     while len(stack) > 1:

@@ -29,6 +29,8 @@ MODEL = "piece_bpe_32k.model"
 #: Tables of parts, and tested pairs, kept by a worker; beyond that it starts anew, which changes no count.
 CACHE_PARTS = 1_000_000
 CACHE_PAIRS = 1_000_000
+#: Longer parts are counted like others, but their tables aren't kept.
+KEPT_CHARS = 64
 
 
 class PrefixCounter:
@@ -99,11 +101,13 @@ class PrefixCounter:
             count[end] = count[end - size] + 1
         if 0 in last[1:]:
             raise AssertionError(f"no piece ends at {last.index(0, 1)} of {text!r}")
-        if len(self._parts) >= CACHE_PARTS:
-            self._parts.clear()
         if len(fits) >= CACHE_PAIRS:
             fits.clear()
-        out = self._parts[text] = bytes(count[1:]) if count[-1] < 256 else tuple(count[1:])
+        out = bytes(count[1:]) if count[-1] < 256 else tuple(count[1:])
+        if len(text) <= KEPT_CHARS:
+            if len(self._parts) >= CACHE_PARTS:
+                self._parts.clear()
+            self._parts[text] = out
         return out
 
     def parts(self, text: str) -> list[str]:

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelspark.llm import components, decontam, docstats, entries, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
+from reelspark.llm import components, decontam, docstats, entries, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -367,3 +367,15 @@ def test_markup():
     assert site_style.main_text(page) == "A <b> Onetwo three four Five six x y 1 2"
     assert site_style.main_text("plain text &amp; more") == "plain text & more"
     assert site_style.main_text("<p>a <!-- b > --> c < d") == "a c < d"
+
+
+def test_very_long_texts():
+    words = [f"w{i % 700}-{i % 901}".encode() for i in range(docstats.LONG_WORDS + 50_000)] + [b"x"] * 9
+    assert docstats._repeated_in_long(words[:5000] + words[100:900]) == docstats.repeated_words(words[:5000] + words[100:900])
+    text = b" ".join(words)
+    assert docstats.counts(text)[0] == len(words)
+    hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(len(words) - 2)], dtype="<u8")
+    bits = 2 * np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) > len(hashes)
+    assert simhash_pivot.fingerprint(text) == int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    assert (lang_svm.histogram(text, 1000) == lang_svm.histogram(text)).all()
+    assert site_style.main_text("<b>" * 20_000 + "deep" + "</b>" * 20_000 + '<p title="a>b">end <i x="') == 'deep end <i x="'
