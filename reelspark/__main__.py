@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> int:
         x.add_argument("--report-only", action="store_true", help="no questions")
     a = p.parse_args(argv)
 
-    from .plans import more, queries, registry, review  # noqa: F401  (they register)
+    from .plans import extensions, more, queries, registry, review  # noqa: F401  (they register)
 
     if a.command == "list":
         print("\n".join(registry.PLANS))

@@ -249,3 +249,26 @@ def test_files(spark, tmp_path):
     assert artifacts.caption_files(spark, p).first()["language"] == "en"
     html = report.page({"chunks": 1}, [{"kind": "scene", "left_pct": 1.0, "width_pct": 0.0}], [], [], [{"chunk_id": "<c>", "asr_text": "a"}])
     assert "&lt;c&gt;" in html
+
+
+def test_captions(spark, tmp_path):
+    from reelspark.sources import captions
+
+    (tmp_path / "v1").mkdir()
+    (tmp_path / "v1" / "a.en.vtt").write_text("WEBVTT\n\nNOTE x\n\n1\n00:01.500 --> 00:02.000 align:left\n<b>Hi</b>\nthere\n\n01:00:00.000 --> 01:00:01.001\n\n\nnothing")
+    rows = captions.read_vtt(spark, str(tmp_path)).orderBy("seg_ix").collect()
+    assert [(r["video_id"], r["language"], r["start_ms"], r["end_ms"], r["text"]) for r in rows] == [("v1", "en", 1500, 2000, "Hi there"), ("v1", "en", 3_600_000, 3_601_001, "")]
+    lines = spark.createDataFrame([(1, 0, "[00:00:01.000 -> 00:00:02.000] [S1] hi"), (1, 1, "[00:00:03.000 -> 00:00:04.005] bare"), (1, 2, "noise")], "video_id long, line_ix int, line string")
+    got = captions.read_transcript(lines).orderBy("seg_ix").collect()
+    assert [(r["start_ms"], r["end_ms"], r["speaker"], r["text"]) for r in got] == [(1000, 2000, "S1", "hi"), (3000, 4005, None, "bare")]
+
+
+def test_extensions(spark):
+    from reelspark.operators import extensions as X
+
+    s = spark.createDataFrame([(1, 0, 0, 1, "a"), (1, 1, 1, 2, "a"), (1, 2, 2, 3, None), (1, 3, 3, 4, None), (1, 4, 4, 5, "a")], "video_id long, seg_ix int, start_ms long, end_ms long, speaker string")
+    assert [(r["speaker"], r["n"]) for r in X.speaker_turns(s).orderBy("turn").collect()] == [("a", 2), (None, 2), ("a", 1)]
+    f = spark.createDataFrame([(1, 0, "a b"), (1, 1, "a b"), (1, 2, ""), (1, 3, "")], "video_id long, frame_id int, text string")
+    assert [r["frame_id"] for r in X.changed_text_frames(f).orderBy("frame_id").collect()] == [0, 2, 3]
+    t, d = (spark.createDataFrame([(1, x) for x in xs], "video_id long, t_ms long") for xs in ((0, 10, 50), (4, 48)))
+    assert X.boundary_error(t, d).first()["mae_ms"] == pytest.approx((4 + 6 + 2) / 3)

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from reelspark.plans import extensions as _e  # noqa: F401
 from reelspark.plans import more as _m  # noqa: F401
 from reelspark.plans import queries as _q  # noqa: F401
 from reelspark.plans import registry
