@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 RADIUS = 23
 THRESHOLD = 0.4
-#: Most bytes of benchmark text that one broadcast index may hold; a larger benchmark is taken in several passes.
-INDEX_BYTES = 32 << 20
+#: Most bytes of benchmark text in one index, and in all: what is sent to every executor is bounded by them.
+INDEX_BYTES = 4 << 20
+MOST_BYTES = 32 << 20
 OUT = "doc_id long, item_ids array<long>, similarity double, matches array<struct<item_id: long, start: long, words: long, similarity: double>>"
 #: Punctuation beyond ASCII, and a table that turns all other ASCII but letters, digits and _ into spaces.
 _ODD = re.compile("[\u00a0-\u00bf\u00d7\u00f7\u2000-\u206f\u2190-\u2bff\u3000-\u303f\uff00-\uff0f\uff1a-\uff20]")
@@ -146,7 +147,7 @@ def indexes(benchmark: DataFrame, most_bytes: int = INDEX_BYTES) -> list[Index]:
     """The benchmark, in as many indexes as its checked size asks for."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    if size > 16 * most_bytes:
+    if size > MOST_BYTES:
         raise ValueError(f"a benchmark of {size} bytes is too large to be sent to all executors")
     rows = sorted(((r["item_id"], r["text"]) for r in items.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     out, part, held = [], [], 0

@@ -379,3 +379,11 @@ def test_very_long_texts():
     assert simhash_pivot.fingerprint(text) == int(np.packbits(bits, bitorder="little").view("<u8")[0])
     assert (lang_svm.histogram(text, 1000) == lang_svm.histogram(text)).all()
     assert site_style.main_text("<b>" * 20_000 + "deep" + "</b>" * 20_000 + '<p title="a>b">end <i x="') == 'deep end <i x="'
+
+
+def test_benchmark_in_parts(spark, smallest):
+    bench = spark.read.parquet(f"{smallest}/benchmark.parquet")
+    parts = decontam.indexes(bench, most_bytes=1000)
+    assert len(parts) > 3 and sorted(i for p in parts for i in p.ids) == sorted(r["item_id"] for r in bench.collect())
+    text = bench.first()["text"]
+    assert any(decontam.find(text, p) for p in parts)
