@@ -7,9 +7,10 @@ and on how many pages each of its text blocks (content) stands. The importance o
     (1 - GAMMA) * entropy of its parent's presentation + GAMMA * (1 - mean entropy of its contents over pages),
 
 entropies to the base of the number of pages. What stands on every page has importance 0, what is written for one page
-1. Blocks under nodes of low importance are removed from every page of the host, as are branches that their markup
-declares to be no content (navigation, adverts, forms, ...). The tree is an aggregation over keys (host, node, content),
-so no host is gathered in one task; what is joined back is one row for each host that has unimportant nodes."""
+1. Blocks under nodes of low importance are removed from every page of the host that marks no article, as are branches
+that their markup declares to be no content (navigation, adverts, forms, ...). Pages with the same blocks count once, so
+copies don't vote for their own removal. The tree is an aggregation over keys (host, node, content), so no host is
+gathered in one task; what is joined back is one row for each host that has unimportant nodes."""
 
 from __future__ import annotations
 
@@ -18,6 +19,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -211,32 +213,40 @@ def host_of(url):
     return F.coalesce(F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
 
 
-def style_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """host, node, pages, presentation and content: the entropies of each node that holds text; and host, feature of the
-    texts that stand on most of a node's pages.
+def _page_features(page: str | None) -> bytes:
+    """What a page tells the tree, as rows of node, parent, kind (0: it has the node, 1: a text, 2: a child sequence) and hash."""
+    blocks, styles = read_page(page)
+    found = {(b.node, b.parent, 1, _hash(b.text)) for b in blocks if not b.noise}
+    found |= {(n, p, 0, 0) for n, p, _, _ in found}
+    for parent in {b.parent for b in blocks if not b.noise}:
+        if kinds := styles.get(parent):
+            found.add((parent, 0, 2, _hash(kinds.most_common(1)[0][0])))
+    return np.array(sorted(found), dtype=np.int64).tobytes()
 
-    Rows are counted within a batch before they are shuffled, by (host, node, kind, feature), so that a hot host is
-    spread over its contents, and then once more by (host, node)."""
+
+def style_tree(pages: DataFrame, least_pages: int = LEAST_PAGES) -> tuple[DataFrame, DataFrame]:
+    """host, node, pages, presentation and content: the entropies of each node that holds text; and host, node, pages,
+    feature of the texts that stand on most of a node's pages.
+
+    Pages of a host that tell the same are one page. They are counted within a batch before they are shuffled, by (host,
+    node, kind, feature), so that a hot host is spread over its contents, and then once more by (host, node)."""
+
+    def read(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array([_page_features(p) for p in batch.column("_html").to_pylist()], pa.binary())], ["host", "told"])
 
     def run(batches):
         for batch in batches:
             seen: Counter = Counter()
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("_html").to_pylist()):
-                blocks, styles = read_page(page)
-                wanted = {b.parent for b in blocks if not b.noise}
-                found = {(b.node, b.parent, _hash(b.text)) for b in blocks if not b.noise}
-                seen.update((host, n, p, 1, h) for n, p, h in found)
-                seen.update((host, n, p, 0, 0) for n, p in {x[:2] for x in found})
-                for parent in wanted:
-                    kinds = styles.get(parent)
-                    if kinds:
-                        seen[host, parent, 0, 2, _hash(kinds.most_common(1)[0][0])] += 1
+            for host, told in zip(batch.column("host").to_pylist(), batch.column("told").to_pylist()):
+                seen.update((host, *x) for x in np.frombuffer(told, dtype=np.int64).reshape(-1, 4).tolist())
             keys = list(zip(*seen)) or [(), (), (), (), ()]
             arrays = [pa.array(keys[0], pa.string()), *(pa.array(k, pa.int64()) for k in keys[1:]), pa.array(seen.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["host", "node", "parent", "kind", "feature", "n"])
 
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").alias("_html")).where("html is not null")
-    counted = rows.mapInArrow(run, "host string, node long, parent long, kind long, feature long, n long")
+    different = rows.mapInArrow(read, "host string, told binary").distinct()
+    counted = different.mapInArrow(run, "host string, node long, parent long, kind long, feature long, n long")
     features = materialize(counted.groupBy("host", "node", "parent", "kind", "feature").agg(F.sum("n").alias("n")), "style-features")
     logs = F.log("n")
     nodes = features.groupBy("host", "node", "parent").agg(
@@ -250,46 +260,52 @@ def style_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     shown = nodes.where("styled is not null").groupBy("host", F.col("node").alias("parent")).agg(F.max(F.when(m > 1, (F.log(m) - F.col("style_log") / m) / F.log(m)).otherwise(1.0)).alias("presentation"))
     leaf = nodes.where("pages is not null").withColumn("content", F.when(F.col("pages") > 1, F.col("content_log") / F.col("contents") / F.log("pages")).otherwise(0.0))
     joined = leaf.join(shown, ["host", "parent"], "left")
-    sizes = nodes.where(F.col("pages") >= COMMON_PAGES).select("host", "node", "parent", "pages")
-    often = features.where((F.col("kind") == 1) & (F.col("n") >= COMMON_SHARE * COMMON_PAGES)).join(sizes, ["host", "node", "parent"])
-    common = often.where(F.col("n") >= COMMON_SHARE * F.col("pages")).select("host", "feature").distinct()
+    sizes = nodes.where(F.col("pages") >= min(least_pages, COMMON_PAGES)).select("host", "node", "parent", "pages")
+    often = features.where((F.col("kind") == 1) & (F.col("n") >= COMMON_SHARE * min(least_pages, COMMON_PAGES))).join(sizes, ["host", "node", "parent"])
+    common = often.where(F.col("n") >= COMMON_SHARE * F.col("pages")).select("host", "node", "pages", "feature")
     tree = joined.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.avg(F.coalesce("presentation", F.lit(1.0))).alias("presentation"), F.max("content").alias("content"))
     return tree, common
 
 
 def unimportant(tree: DataFrame, common: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES, gamma: float = GAMMA) -> DataFrame:
-    """host and what is removed on it: hashes of nodes and of texts."""
+    """host and what is removed on it: hashes of nodes, and of texts with their nodes. Of a node with few pages only
+    those common texts are known by themselves that stand in an unimportant node."""
     importance = (1 - gamma) * F.col("presentation") + gamma * (1 - F.col("content"))
     low = tree.where((F.col("pages") >= least_pages) & (importance < least)).select("host", "node")
-    return low.union(common.select("host", F.col("feature").alias("node"))).groupBy("host").agg(F.collect_set("node").alias("nodes"))
+    text = F.col("node").bitwiseXOR(F.col("feature")).alias("text")
+    none = F.lit(None).cast("long")
+    many = common.where(F.col("pages") >= COMMON_PAGES).select("host", none, text)
+    few = common.where(F.col("pages") < COMMON_PAGES).join(low, ["host", "node"], "left_semi").select("host", none, text)
+    return low.withColumn("text", none).union(many).union(few).groupBy("host").agg(F.collect_set("node").alias("nodes"), F.collect_set("text").alias("texts"))
 
 
-def main_text(page: str | None, removed=frozenset()) -> str:
+def main_text(page: str | None, nodes=frozenset(), texts=frozenset()) -> str:
     """The blocks of a page that are kept, in order, joined by one space. A page that marks an article or main element
-    is reduced to it. If the style tree would leave nothing, it is not applied to that page."""
+    is reduced to all of it. Of any other page the common texts are removed, and the unimportant nodes too, unless no
+    text of its own would remain."""
     blocks = [b for b in read_page(page)[0] if not b.noise]
-    if any(b.main for b in blocks):
-        blocks = [b for b in blocks if b.main]
-    else:
-        good = [b for b in blocks if b.link * 2 < len(b.text) or not b.link]
-        blocks = good or blocks
-    kept = [b for b in blocks if b.node not in removed and _hash(b.text) not in removed] if removed else blocks
-    kept = kept or blocks
+    marked = [b for b in blocks if b.main]
+    if marked:
+        return " ".join(b.text for b in marked)
+    good = [b for b in blocks if b.link * 2 < len(b.text) or not b.link]
+    rest = [b for b in good or blocks if b.node ^ _hash(b.text) not in texts] if texts else good or blocks
+    kept = [b for b in rest if b.node not in nodes] or rest
     return " ".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars.
 
-    A null html is an empty page. Pages without a host share the host ''. Repeated rows get a row each (and count each
+    A null html is an empty page. Pages without a host share the host ''. Repeated rows get a row each (and count once
     in the tree); a null page_id stays null; other columns are ignored; an empty table gives an empty result."""
-    removed = materialize(unimportant(*style_tree(pages), least, least_pages), "removed-nodes")
+    removed = materialize(unimportant(*style_tree(pages, least_pages), least, least_pages), "removed-nodes")
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(p, frozenset(r) if r else frozenset()) for p, r in zip(batch.column("_html").to_pylist(), batch.column("nodes").to_pylist())]
+            columns = (batch.column(c).to_pylist() for c in ("_html", "_nodes", "_texts"))
+            texts = [main_text(p, frozenset(n or ()), frozenset(t or ())) for p, n, t in zip(*columns)]
             arrays = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "n_chars"])
 
     made = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("html").alias("_html"), host_of(F.col("url")).alias("host"))
-    return made.join(removed, "host", "left").select("page_id", "url", "_html", "nodes").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return made.join(removed, "host", "left").select("page_id", "url", "_html", F.col("nodes").alias("_nodes"), F.col("texts").alias("_texts")).mapInArrow(run, "page_id long, url string, text string, n_chars long")

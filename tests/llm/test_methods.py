@@ -360,6 +360,25 @@ def test_style_tree_removes_what_every_page_has(spark):
     assert {r["page_id"]: r["text"] for r in rows} == {i: f"Title {i} Text of page {i} & more Only here {i * 7}" for i in range(20)}
 
 
+def html_texts(spark, bodies):
+    made = [(i, f"http://h.example/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    rows = site_style.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in rows}
+
+
+def test_near_copies_of_an_article_stay_whole(spark):
+    bodies = [f"<p>Call us</p><article><h1>One title</h1><p>A passage that all copies share.</p><p>Copy {i}.</p><p>All rights reserved.</p></article>" for i in range(40)]
+    assert html_texts(spark, bodies) == {i: f"One title A passage that all copies share. Copy {i}. All rights reserved." for i in range(40)}
+
+
+def test_copies_count_once_and_texts_belong_to_nodes(spark):
+    own = [f"<div class='t'><p>Call us</p></div><div class='b'><p>Only on {i}</p><p>As well {i}</p></div>" for i in range(20)]
+    copies = ["<div class='b'><p>Copied passage</p><p>Call us</p></div>"] * 30
+    bare = ["<div class='t'><p>Call us</p></div>"]
+    got = html_texts(spark, own + copies + bare)
+    assert got == {i: f"Only on {i} As well {i}" for i in range(20)} | {i: "Copied passage Call us" for i in range(20, 50)} | {50: ""}
+
+
 def test_markup():
     page = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style></head><body><header>Top</header><nav><a href=x>Menu</a></nav><div class="cookie-notice">We use</div>
     <main><h1>A &lt;b&gt;</h1><p>One<b>two</b>  three<br>four<p>Five <script>var a="</p>";</script>six<ul><li>x<li>y</ul><aside>Side</aside><form><input value=1>Send</form><table><tr><td>1<td>2</table></main>
