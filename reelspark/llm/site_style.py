@@ -34,9 +34,6 @@ LEAST_PAGES = 8
 #: A text that stands on this share of a node's pages is removed by itself, if the node has enough pages to tell.
 COMMON_SHARE, COMMON_PAGES = 0.5, 20
 
-#: Elements within more others than this are read as part of the one around them.
-MOST_DEPTH = 300
-
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*>|[^<]+|<", re.S)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -102,12 +99,16 @@ def _declared_noise(tag: str, attributes: str, inside_main: bool) -> bool:
 
 
 def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
-    """The text blocks of a page in order, and for each node the child sequences that it has on this page."""
+    """The text blocks of a page in order, and for each node the child sequences that it has on this page. Elements are
+    followed to any depth, each step at a cost that doesn't grow with it."""
     page = page or ""
     blocks: list[Block] = []
     styles: dict[int, Counter] = {}
-    # an open element: tag, path, noise, in main, hash of its path, children (runs of equal ones count once)
-    stack: list[tuple[str, str, bool, bool, int, list[str]]] = [("", "", False, False, 0, [])]
+    # an open element: tag, place of the block element that holds its text, noise, in main, hash of its parent's hash and
+    # its name, children (runs of equal ones count once)
+    stack: list[tuple[str, int, bool, bool, int, list[str]]] = [("", 0, False, False, 0, [])]
+    places: dict[str, list[int]] = {}  # of the open elements by tag
+    scopes = [0]  # places of those that bound what an end tag can reach
     text: list[str] = []
     linked = 0
     at, size = 0, len(page)
@@ -117,9 +118,7 @@ def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                for up in range(len(stack) - 1, -1, -1):  # the block element that holds the text
-                    if stack[up][0] in _BLOCK or not up:
-                        break
+                up = stack[-1][1]
                 top = stack[up]
                 blocks.append(Block(top[4], stack[max(up - 1, 0)][4], joined, stack[-1][2], stack[-1][3], linked))
             text.clear()
@@ -127,9 +126,19 @@ def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
 
     def leave() -> None:
         top = stack.pop()
+        places[top[0]].pop()
+        if top[0] in _SCOPE:
+            scopes.pop()
         if top[5]:
             styles.setdefault(top[4], Counter())[",".join(top[5])] += 1
 
+    def close(tags, least: int) -> None:
+        """Leaves the innermost open element of these tags, if its place isn't below ``least``."""
+        k = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if k and k >= least:
+            while len(stack) > k:
+                leave()
+
     while at < size:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -149,30 +158,12 @@ def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
         if tag in _BLOCK:
             flush()
         if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    while len(stack) > k:
-                        leave()
-                    break
-                if stack[k][0] in _SCOPE and tag not in _SCOPE:
-                    break
+            close((tag,), 0 if tag in _SCOPE else scopes[-1])
             continue
         if tag in _CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    while len(stack) > k:
-                        leave()
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
+            close(("p",), scopes[-1])
         if tag in _ENDS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in _ENDS[tag]:
-                    while len(stack) > k:
-                        leave()
-                    break
-                if stack[k][0] in _SCOPE and not (tag in ("td", "th") and stack[k][0] in ("td", "th")):
-                    break
+            close(_ENDS[tag], scopes[-1])
         attributes = m.group(3)
         if stack[-1][5][-1:] != [tag]:
             stack[-1][5].append(tag)
@@ -193,10 +184,10 @@ def read_page(page: str | None) -> tuple[list[Block], dict[int, Counter]]:
                 end = page.find(">", at)
                 at = size if end < 0 else end + 1
                 continue
-        if len(stack) >= MOST_DEPTH:
-            continue
-        path = f"{top[1]}/{name}"
-        stack.append((tag, path, noise, main, _hash(path), []))
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _SCOPE:
+            scopes.append(len(stack))
+        stack.append((tag, len(stack) if tag in _BLOCK else top[1], noise, main, _hash(f"{top[4]}/{name}"), []))
     flush()
     while len(stack) > 1:
         leave()

@@ -388,6 +388,13 @@ def test_markup():
     assert site_style.main_text("<p>a <!-- b > --> c < d") == "a c < d"
 
 
+def test_deep_pages():
+    n = 5_000
+    page = "<div><article><p>First</p>" + "<div>" * n + "<nav>Menu</nav><p>Deep</p><aside>Ad</aside>" + "</div>" * n + "<p>Last</p></article><p>Outside</p></div>"
+    assert site_style.main_text(page) == "First Deep Last"
+    assert site_style.main_text("<p>One<div>" + "<b>" * n + "</p><br>x" * n) == " ".join(["One"] + ["x"] * n)
+
+
 def test_very_long_texts():
     words = [f"w{i % 700}-{i % 901}".encode() for i in range(docstats.LONG_WORDS + 50_000)] + [b"x"] * 9
     assert docstats._repeated_in_long(words[:5000] + words[100:900]) == docstats.repeated_words(words[:5000] + words[100:900])
