@@ -1,9 +1,12 @@
 """URL filter: host and path rules, then a list of canonical URLs behind a blocked Bloom filter.
 
-A listed entry is ``host/path``; it covers its host with all subdomains, and all paths that begin with it. The keys of
-a URL are the ``host suffix + path prefix`` forms that could be listed. Each key sets or tests four bits within one
-block of 64, so a probe touches one word. The filter has a fixed size whatever the list, and passes only possible hits
-to an exact hash join with the list, which takes out the false positives."""
+A listed entry is ``host/path``; it covers its host with all subdomains, and all paths that begin with it, a query
+included. Entries and URLs are looked up in one canonical form (``canonical``), while rules and results keep the host and
+path as they stand in the URL. An entry without a path covers the whole host; one with a port that isn't the default
+covers that port only. The keys of a URL are its ``host suffix + path prefix`` forms, with the prefixes of those lengths
+that the list has. Each key sets or tests four bits within one block of 64, so a probe touches one word. The filter has a
+fixed size whatever the list, and passes only possible hits to an exact hash join with the list, which takes out the
+false positives."""
 
 from __future__ import annotations
 
@@ -25,15 +28,15 @@ LISTED = ("spam-farm.example.org/", "cheap-pills.example.com/")
 WORDS = 1 << 16
 
 
-def with_parts(pages: DataFrame) -> DataFrame:
-    """page_id, host, path."""
+def with_parts(pages: DataFrame, *more: str) -> DataFrame:
+    """page_id, host, path, and further columns."""
     url = F.col("url")
     rest = F.when(url.contains("://"), F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1))
     authority = F.regexp_extract("_rest", r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract("_rest", r"(?s)^[^/?#]*([^?#]*)", 1)
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), rest.alias("_rest")).select(
-        "page_id", F.coalesce(F.translate(authority, upper, lower), F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), rest.alias("_rest"), *more).select(
+        "page_id", F.coalesce(F.translate(authority, upper, lower), F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), *more
     )
 
 
@@ -46,17 +49,51 @@ def rule_column(what: str, rules=RULES):
     return out
 
 
-def listed_keys(host, path):
-    """The forms under which a URL could be listed: host suffixes of 2 labels or more, whole paths and folders."""
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    tails = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-    hosts = F.array_distinct(F.concat(F.array(host), F.transform(tails, lambda i: F.array_join(F.slice(labels, i, F.greatest(n - i + 1, F.lit(1))), "."))))
+def _escapes(x):
+    """Escapes of letters, digits and -._~ resolved, all others in upper case, and characters beyond ASCII escaped."""
+
+    def piece(t, i):
+        char = F.chr(F.conv(F.substring(t, 1, 2), 16, 10).cast("int"))
+        rest = F.substr(t, F.lit(3))
+        known = F.when(char.rlike(r"^[A-Za-z0-9._~-]$"), F.concat(char, rest)).otherwise(F.concat(F.lit("%"), F.upper(F.substring(t, 1, 2)), rest))
+        return F.when(i == 0, t).when(t.rlike("^[0-9A-Fa-f]{2}"), known).otherwise(F.concat(F.lit("%"), t))
+
+    plain = F.when(x.contains("%"), F.array_join(F.transform(F.split(x, "%"), piece), "")).otherwise(x)
+    odd = F.transform(F.split(plain, ""), lambda c: F.when(c.rlike(r"[^\x00-\x7f]"), F.url_encode(c)).otherwise(c))
+    return F.when(plain.rlike(r"[^\x00-\x7f]"), F.array_join(odd, "")).otherwise(plain)
+
+
+def _without_dots(path):
+    """A path with its ``.`` and ``..`` resolved."""
     parts = F.split(path, "/")
-    heads = F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))
-    folders = F.transform(heads, lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
-    paths = F.array_distinct(F.concat(F.array(path), folders))
-    return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    up = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))
+    fold = F.aggregate(parts, F.array().cast("array<string>"), lambda a, t: F.when(t == ".", a).when(t == "..", up(a)).otherwise(F.concat(a, F.array(t))))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(fold, "/")).otherwise(path)
+
+
+def canonical(df: DataFrame, url, scheme: str = "[^/?#]*?") -> DataFrame:
+    """``df`` with _site, _port and _where of a URL: the host in lower case, without userinfo, escapes and final dots; the
+    port with its colon, empty if it is the default of the scheme (without a scheme, 80 or 443); path and query with
+    escapes and dots settled, at least ``/``. Names beyond ASCII are not turned into Punycode."""
+    df = df.withColumn("_scheme", F.lower(F.regexp_extract(url, f"(?s)^({scheme})://", 1))).withColumn("_rest", F.regexp_replace(url, f"(?s)^{scheme}://", ""))
+    df = df.withColumn("_authority", F.regexp_replace(F.regexp_extract("_rest", r"(?s)^([^/?#]*)", 1), r"(?s)^.*@", ""))
+    df = df.withColumn("_port", F.regexp_extract("_authority", r":([0-9]*)$", 1)).withColumn("_query", F.regexp_extract("_rest", r"(?s)^[^?#]*(\?[^#]*)", 1))
+    default = F.when(F.col("_scheme") == "http", F.col("_port") == "80").when(F.col("_scheme") == "https", F.col("_port") == "443").otherwise(F.col("_port").isin("80", "443"))
+    site = F.regexp_replace(F.lower(_escapes(F.regexp_replace("_authority", r":[0-9]*$", ""))), r"\.+$", "")
+    path = _without_dots(_escapes(F.regexp_extract("_rest", r"(?s)^[^/?#]*([^?#]*)", 1)))
+    df = df.withColumns({"_site": F.coalesce(site, F.lit("")), "_where": F.coalesce(F.concat(F.when(path == "", F.lit("/")).otherwise(path), _escapes(F.col("_query"))), F.lit("/"))})
+    return df.withColumn("_port", F.when((F.col("_port") == "") | default, F.lit("")).otherwise(F.coalesce(F.concat(F.lit(":"), "_port"), F.lit("")))).drop("_scheme", "_rest", "_authority", "_query")
+
+
+def listed_keys(site, port, where, lengths):
+    """The forms under which a URL could be listed: host suffixes, with the port and without, and prefixes of the lengths."""
+    labels = F.split(site, r"\.")
+    n = F.size(labels)
+    hosts = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    hosts = F.when(port == "", hosts).otherwise(F.concat(hosts, F.transform(hosts, lambda h: F.concat(h, port))))
+    heads = F.transform(F.filter(lengths, lambda k: k <= F.length(where)), lambda k: F.substr(where, F.lit(1), k))
+    return F.flatten(F.transform(hosts, lambda h: F.transform(heads, lambda p: F.concat(h, p))))
 
 
 def _bits(key):
@@ -87,18 +124,21 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, words: int = W
     """One row per page: page_id, host, path, rule, verdict. listed: a column key, of entries ``host/path``.
 
     A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed. Null and repeated
-    entries of the list, and repeated pages, are fine; a null page_id stays null; other columns are ignored; an empty
-    list blocks nothing; an empty table gives an empty result."""
-    listed = listed.where("key is not null").select("key").distinct()
-    parts = with_parts(pages).withColumn("rule", rule_column("rule", rules)).withColumn("ruled", rule_column("kind", rules))
-    bits = F.broadcast(materialize(bloom(listed, words), "bloom"))  # one row of 8 * words bytes
+    entries of the list, and repeated pages, are fine, and an entry without a host covers nothing; a null page_id stays
+    null; other columns are ignored; an empty list blocks nothing; an empty table gives an empty result."""
+    entries = canonical(listed.where("key is not null").select("key"), F.col("key")).where("_site <> ''")
+    listed = entries.select(F.concat("_site", "_port", "_where").alias("key"), F.length("_where").alias("_n")).distinct()
+    lengths = listed.agg(F.collect_set("_n").alias("lengths"))
+    parts = with_parts(canonical(pages, F.col("url"), ".*?"), "_site", "_port", "_where").withColumn("rule", rule_column("rule", rules)).withColumn("ruled", rule_column("kind", rules))
+    bits = F.broadcast(materialize(bloom(listed, words).crossJoin(lengths), "bloom"))  # one row: 8 * words bytes and a few lengths
     open_ = F.col("ruled").isNull() & (F.col("host") != "")
     test = lambda k: F.get(F.col("filter"), _word(k, words)).bitwiseAND(_bits(k)) == _bits(k)
-    hits = F.when(open_, F.filter(listed_keys(F.col("host"), F.col("path")), test)).otherwise(F.array().cast("array<string>"))
-    probed = parts.crossJoin(bits).select("page_id", "host", "path", "rule", "ruled", hits.alias("hits"))
+    keys = listed_keys(F.col("_site"), F.col("_port"), F.col("_where"), F.col("lengths"))
+    hits = F.when(open_, F.filter(keys, test)).otherwise(F.array().cast("array<string>"))
+    probed = parts.crossJoin(bits).select("page_id", "host", "path", "rule", "ruled", F.concat("_site", "_port", "_where").alias("_url"), hits.alias("hits"))
     # the few possible hits go to the exact join, by the URL itself: repeated URLs are looked up once
-    possible = probed.where(F.size("hits") > 0).select("host", "path", F.explode("hits").alias("key")).distinct()
-    sure = possible.join(listed, "key").select("host", "path").distinct().withColumn("listed", F.lit(True))
-    out = probed.join(materialize(sure, "listed-urls"), ["host", "path"], "left")
+    possible = probed.where(F.size("hits") > 0).select("_url", F.explode("hits").alias("key")).distinct()
+    sure = possible.join(listed, "key").select("_url").distinct().withColumn("listed", F.lit(True))
+    out = probed.join(materialize(sure, "listed-urls"), "_url", "left")
     verdict = F.coalesce("ruled", F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

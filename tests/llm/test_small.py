@@ -89,6 +89,19 @@ def test_url_filter(spark, pages):
     assert url_bloom.filter_urls(empty(pages), listed).count() == 0
 
 
+def test_listed_urls_in_any_form(spark):
+    entries = ["Spam.example.org/", "example.org/x", "example.org/id?n=1", "http://whole.example.org", "port.example.org:8080/", "example.org/caf\u00e9", "zone/"]
+    blocked = [
+        "http://user:pw@spam.example.org:80/a", "https://SPAM.example.org.:443", "http://a.spam.example.org:81/", "http://sp%61m.example.org/", "http://example.org/xy", "http://example.org/%78",
+        "http://example.org/a/../x/y", "http://example.org/./x", "http://example.org/id?n=12#z", "http://whole.example.org/q", "http://port.example.org:8080/p", "http://example.org/caf%c3%a9", "http://a.zone/b",
+    ]
+    allowed = ["http://example.org/X", "http://example.org/id?n=2", "http://notspam.example.org/", "http://port.example.org/p", "https://port.example.org:80/", "http://example.org/a/x", "http://example.org", "http://spam.example.org@example.org/"]
+    pages = spark.createDataFrame(list(enumerate(blocked + allowed)), "page_id long, url string")
+    rows = {r["page_id"]: r for r in url_bloom.filter_urls(pages, url_bloom.listed_table(spark, entries), rules=()).collect()}
+    assert {u: rows[i]["verdict"] for i, u in enumerate(blocked + allowed)} == dict.fromkeys(blocked, "block") | dict.fromkeys(allowed, "allow")
+    assert (rows[0]["host"], rows[0]["path"], rows[6]["path"]) == ("user:pw@spam.example.org:80", "/a", "/a/../x/y")
+
+
 def test_tokens(docs):
     rows = {r["doc_id"]: r for r in token_prefix.count_tokens(docs).collect()}
     assert rows[2]["n_tokens"] == rows[3]["n_tokens"] == 0 and rows[3]["n_bytes"] == 0 and rows[4]["over_limit"] and rows[6]["n_bytes"] == 14
