@@ -15,10 +15,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import HASH_SPACE, remainder
+from ._common import HASH_SPACE, materialize, remainder
 
 BITS = 14
-#: More languages than this aren't learned; it bounds the sample and the number of machines.
+#: More languages than this are refused; it bounds the sample and the number of machines.
 MOST_LANGUAGES = 200
 #: Family of a language; one that is missing here is a family of its own.
 FAMILIES = {
@@ -174,12 +174,15 @@ def _features(batches):
 
 def train(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     """Learns from documents that aren't held out, at most ``per_language`` of each language; null or letterless texts
-    and null languages teach nothing."""
+    and null languages teach nothing. More than MOST_LANGUAGES languages are an error."""
     usable = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).where("_id is not null and _lang is not null").where(remainder(F.col("_id"), p.modulus) != p.held_out)
     counts = usable.groupBy("_lang").agg(F.count("*").alias("n"))  # one row for each language
+    counts = materialize(counts, "languages")
+    if (n := counts.count()) > MOST_LANGUAGES:
+        raise ValueError(f"{n} languages are too many; at most {MOST_LANGUAGES} can be learned")
     place = F.pmod(F.xxhash64("_id"), F.lit(HASH_SPACE))
     share = F.when(F.col("n") > p.per_language, 1.2 * p.per_language / F.col("n") + 1e-4).otherwise(1.0)
-    few = usable.join(F.broadcast(counts.where(F.length("_lang") <= 64).limit(MOST_LANGUAGES)), "_lang").where(place < F.lit(HASH_SPACE) * share)
+    few = usable.join(F.broadcast(counts), "_lang").where(place < F.lit(HASH_SPACE) * share)
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy(place, "_id"))
     ids = few.withColumn("_rank", rank).where(F.col("_rank") <= p.per_language).select("_id", "_lang")
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang")).where(F.col("_text").rlike(r"\p{L}"))

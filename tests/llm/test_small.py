@@ -117,6 +117,16 @@ def test_language(docs):
     assert lang_svm.identify(empty(docs), model).count() == 0
 
 
+def test_no_language_is_dropped(spark):
+    long = "x-" + "long" * 20
+    rows = [(i, "aaa bbb" if i % 2 else "yyy zzz", "en" if i % 2 else long) for i in range(40)]
+    model = lang_svm.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert lang_svm.decide(["yyy zzz", "aaa bbb"], model)[0] == [long, "en"]
+    many = spark.createDataFrame([(10 * i + k, "word", f"l{i}") for i in range(201) for k in range(10)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        lang_svm.train(many)
+
+
 def test_decontamination(spark, docs):
     bench = spark.createDataFrame([(1, "One two, three four!"), (2, None), (3, ""), (4, "Wort"), (None, "one two three four")], "item_id long, text string")
     rows = decontam.contaminated(docs, bench).collect()
