@@ -94,13 +94,24 @@ class Index:
         return some[distance <= radius]
 
 
-def build(items: list[tuple[int, str]]) -> Index:
-    """Items without a word are never found. Items of one or two words are found by their whole text."""
+def weights(texts) -> tuple[dict[tuple, float], float]:
+    """The weight of each shingle by the number of items that have it, and that of a shingle of none."""
+    seen: Counter = Counter()
+    n = 1
+    for t in texts:
+        if bag := shingles(words_of(t)):
+            seen.update(bag.keys())
+            n += 1
+    return {s: float(np.log1p(n / k)) for s, k in seen.items()}, float(np.log1p(n))
+
+
+def build(items: list[tuple[int, str]], all_weights: tuple[dict[tuple, float], float] | None = None) -> Index:
+    """Items without a word are never found. Items of one or two words are found by their whole text. all_weights: those of
+    all items, if these are a part of them."""
     kept = [(i, w) for i, t in items if (w := words_of(t))]
     bags = [shingles(w) for _, w in kept]
-    seen: Counter = Counter(s for b in bags for s in b)
-    n = len(bags) + 1
-    index = Index([i for i, _ in kept], [w for _, w in kept], {s: float(np.log1p(n / k)) for s, k in seen.items()}, float(np.log1p(n)), bags)
+    idf, rare = all_weights or weights(t for _, t in items)
+    index = Index([i for i, _ in kept], [w for _, w in kept], idf, rare, bags)
     for at, (_, w) in enumerate(kept):
         size = min(3, len(w))
         for q in range(len(w) - size + 1):
@@ -116,47 +127,57 @@ def build(items: list[tuple[int, str]]) -> Index:
 
 def find(text: str | None, index: Index, radius: int = RADIUS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
     """(item_id, first word, words, similarity): for each item its most similar window in the text, if verified."""
+    return find_in(text, [index], radius, threshold)
+
+
+def find_in(text: str | None, parts: list[Index], radius: int = RADIUS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
+    """``find`` in a benchmark of several parts with the same weights: the windows of all parts are looked up in each, so
+    that the result is that of one index."""
     words = words_of(text)
-    anchors = index.anchors
-    hits: dict[int, list[tuple[int, int, float]]] = {}
-    for size in index.sizes:
-        for p, gram in [x for x in enumerate(zip(*(words[k:] for k in range(size)))) if x[1] in anchors]:
-            for at, q in anchors[gram]:
-                hits.setdefault(at, []).append((p, p - q, index.weight(gram)))
     windows: set[tuple[int, int]] = set()
-    for at, found in hits.items():
-        least, n = threshold * index.masses[at] - 1e-9, min(len(index.words[at]), len(words))
-        if sum(w for _, _, w in found) < least:
-            continue
-        places = [p for p, _, _ in found]
-        sums = [0.0, *accumulate(w for _, _, w in found)]
-        for start in {max(min(s, len(words) - n), 0) for _, s, _ in found}:
-            if sums[bisect_right(places, start + n)] - sums[bisect_left(places, start)] >= least:
-                windows.add((start, n))
-    best: dict[int, tuple[float, int, int]] = {}
-    for start, n in windows:
+    for index in parts:
+        anchors = index.anchors
+        hits: dict[int, list[tuple[int, int, float]]] = {}
+        for size in index.sizes:
+            for p, gram in [x for x in enumerate(zip(*(words[k:] for k in range(size)))) if x[1] in anchors]:
+                for at, q in anchors[gram]:
+                    hits.setdefault(at, []).append((p, p - q, index.weight(gram)))
+        for at, found in hits.items():
+            least, n = threshold * index.masses[at] - 1e-9, min(len(index.words[at]), len(words))
+            if sum(w for _, _, w in found) < least:
+                continue
+            places = [p for p, _, _ in found]
+            sums = [0.0, *accumulate(w for _, _, w in found)]
+            for start in {max(min(s, len(words) - n), 0) for _, s, _ in found}:
+                if sums[bisect_right(places, start + n)] - sums[bisect_left(places, start)] >= least:
+                    windows.add((start, n))
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for start, n in sorted(windows):
         bag = shingles(words[start : start + n])
-        for at in index.candidates(index.simhash(bag), radius):
-            s = index.similarity(bag, index.bags[at])
-            if s >= threshold and (at not in best or (s, -start) > (best[at][0], -best[at][1])):
-                best[at] = (s, start, n)
-    return [(index.ids[at], start, n, s) for at, (s, start, n) in sorted(best.items())]
+        print_ = parts[0].simhash(bag)
+        for k, index in enumerate(parts):
+            for at in index.candidates(print_, radius):
+                s = index.similarity(bag, index.bags[at])
+                if s >= threshold and ((k, at) not in best or (s, -start) > (best[k, at][0], -best[k, at][1])):
+                    best[k, at] = (s, start, n)
+    return [(parts[k].ids[at], start, n, s) for (k, at), (s, start, n) in sorted(best.items())]
 
 
 def indexes(benchmark: DataFrame, most_bytes: int = INDEX_BYTES) -> list[Index]:
-    """The benchmark, in as many indexes as its checked size asks for."""
+    """The benchmark, in as many indexes as its checked size asks for; all weigh shingles by all items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     if size > MOST_BYTES:
         raise ValueError(f"a benchmark of {size} bytes is too large to be sent to all executors")
     rows = sorted(((r["item_id"], r["text"]) for r in items.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    idf = weights(t for _, t in rows)
     out, part, held = [], [], 0
     for r in rows:
         part.append(r)
         held += len(r[1].encode())
         if held >= most_bytes:
-            out, part, held = [*out, build(part)], [], 0
-    return [*out, build(part)] if part or not out else out
+            out, part, held = [*out, build(part, idf)], [], 0
+    return [*out, build(part, idf)] if part or not out else out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD) -> DataFrame:
@@ -165,13 +186,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, th
 
     Null, empty and wordless texts and items match nothing. A null doc_id stays null; repeated rows are judged each;
     equal items are all reported; other columns are ignored; empty tables give an empty result."""
-    shipped = [docs.sparkSession.sparkContext.broadcast(i) for i in indexes(benchmark)]
+    shipped = docs.sparkSession.sparkContext.broadcast(indexes(benchmark))
 
     def run(batches):
         for batch in batches:
             ids, found = [], []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()):
-                hits = [h for b in shipped for h in find(t, b.value, radius, threshold)]
+                hits = find_in(t, shipped.value, radius, threshold)
                 if hits:
                     ids.append(i)
                     found.append(hits)
@@ -185,12 +206,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, th
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no benchmark item, with all columns of ``docs``."""
-    shipped = [docs.sparkSession.sparkContext.broadcast(i) for i in indexes(benchmark)]
+    shipped = docs.sparkSession.sparkContext.broadcast(indexes(benchmark))
     place = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            yield batch.filter(pa.array([not any(find(t, b.value, radius, threshold) for b in shipped) for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([not find_in(t, shipped.value, radius, threshold) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -413,3 +413,17 @@ def test_benchmark_in_parts(spark, smallest):
     assert len(parts) > 3 and sorted(i for p in parts for i in p.ids) == sorted(r["item_id"] for r in bench.collect())
     text = bench.first()["text"]
     assert any(decontam.find(text, p) for p in parts)
+
+
+def test_parts_find_what_one_index_finds(spark):
+    shared = "the quick answer to all of these questions is the same long phrase"
+    items = [(i, f"{shared} " * (i % 3) + " ".join(f"w{i * 7 + k}" for k in range(9 + i % 5))) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [f"before {t} w1 w2 {shared} w3 after {items[i - 1][1]}" for i, t in items] + [shared, " ".join(f"w{k}" for k in range(80))]
+    one = decontam.indexes(bench)
+    want = [decontam.find(t, one[0]) for t in texts]
+    assert len(one) == 1 and any(want)
+    for most_bytes in (1, 300, 2000):
+        parts = decontam.indexes(bench, most_bytes)
+        assert len(parts) > 1 and [decontam.find_in(t, parts) for t in texts] == want
+        assert all(np.array_equal(np.concatenate([p.prints for p in parts]), one[0].prints) for _ in parts)
