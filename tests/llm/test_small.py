@@ -4,7 +4,7 @@ tables; each with the result that its docstring states."""
 import pytest
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontam, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, url_bloom, warc
+from reelspark.llm import decontam, labelled, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, url_bloom, warc
 
 LONG = "alpha beta gamma. " * 40_000
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score double, block int, fingerprint string"
@@ -61,6 +61,14 @@ def test_quality_classifier(docs, labels):
     assert quality_qda.classify(empty(docs), nothing).count() == 0
 
 
+def test_repeated_ids_take_no_place_of_others(spark):
+    docs = spark.createDataFrame([(i, f"text {'word ' * i}") for i in range(60)] + [(7, "text again")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(k, 1, 0) for k in range(0, 60, 3)] * 100, "doc_id long, quality int, toxic int")
+    x, y = labelled.training_rows(docs, labels, bound=40)
+    assert len(x) == len(y) == 40 and len({tuple(r) for r in x}) == 40
+    assert len(labelled.training_rows(docs, labels)[1]) == 60
+
+
 def test_near_duplicates(docs):
     rows = simhash_pivot.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)
