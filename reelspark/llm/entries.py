@@ -53,7 +53,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return pfair_mix.mix(table(spark, sf_dir, "documents"))
+    return pfair_mix.mix(table(spark, sf_dir, "documents"), pfair_mix.WEIGHTS)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

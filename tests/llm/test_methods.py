@@ -3,6 +3,7 @@
 import html
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -283,24 +284,63 @@ def test_plan_is_whole(given_):
     assert {v[0] for v in slots.values()} == {(s, j) for s, n in blocks.items() for j in range(n)}
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 0.7, "b": 0.2999, "c": "0.0001"}, {"a": 3, "b": 2, "c": Fraction(1, 7)}, {"a": 0.1, "b": 1 / 3, "c": 0.25, "d": 1}])
+def test_a_million_slots_deviate_by_less_than_a_block_from_the_given_weights(weights):
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    n, whole = 1_000_000, pfair_mix.whole_weights(weights)
+    assert {s: Fraction(w, sum(whole.values())) for s, w in whole.items()} == {s: w / sum(exact.values()) for s, w in exact.items()}
+    if max(whole.values()) > 10**9:  # the period is longer than any run; as far as the blocks go
+        order = pfair_mix.earliest_deadline_first(whole, dict.fromkeys(whole, 40_000))
+        assert len(order) > 60_000
+    else:
+        phase = pfair_mix.plan(dict.fromkeys(weights, n), whole)[0]
+        order = [""] * phase.period
+        for s, own in phase.orders.items():
+            for i in own:
+                order[i] = s
+        order = (order * (n // len(order) + 1))[:n]
+    names = np.array(order)
+    for s, w in whole.items():
+        got = np.cumsum(names == s)
+        off = [abs(int(g) * sum(whole.values()) - w * t) for t, g in zip(range(1, len(got) + 1), got.tolist())]
+        assert max(off) < sum(whole.values())
+
+
+def test_schedules_too_long_to_send_are_refused(monkeypatch):
+    monkeypatch.setattr(pfair_mix, "MOST_NUMBERS", 1000)
+    blocks = {"a": 10**6, "b": 10**6}
+    assert len(pfair_mix.plan(blocks, pfair_mix.whole_weights({"a": 1, "b": 400}))) == 2
+    with pytest.raises(ValueError, match="denominator"):
+        pfair_mix.plan(blocks, pfair_mix.whole_weights({"a": 1, "b": "1.00001"}))
+
+
 def test_mix_on_the_tables(spark, smallest):
     docs = spark.read.parquet(f"{smallest}/documents.parquet")
-    weights = {"src0": 3.0, "src1": 2.0}
+    weights = {"src0": "0.3", "src1": 0.2, "src2": 7}
     rows = sorted(pfair_mix.mix(docs, weights, block=2, bucket_rows=4).collect(), key=lambda r: r["position"])
     assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in docs.collect())
     assert len({r["position"] for r in rows}) == len(rows) and all(r["position"] // 2 == r["slot"] for r in rows)
-    whole = pfair_mix.whole_weights({r["source"]: weights.get(r["source"], 1.0) for r in rows})
+    exact = {r["source"]: Fraction(str(weights.get(r["source"], 1))) for r in rows}
     left, done = Counter({s: -(-n // 2) for s, n in Counter(r["source"] for r in rows).items()}), Counter()
     order = {}
     for r in rows:
         order.setdefault(r["slot"], (r["source"], r["block"]))
     for t, (s, _) in enumerate((order[k] for k in sorted(order)), 1):  # until the first source ends
         done[s] += 1
-        assert all(abs(done[k] - whole[k] / sum(whole.values()) * t) < 1 for k in left)
+        assert all(abs(done[k] - exact[k] / sum(exact.values()) * t) < 1 for k in left)
         if done[s] == left[s]:
             break
 
 
+def test_rows_without_ids_are_spread_and_ties_are_settled(spark):
+    rows = [(None, "a", f"text {i}", i) for i in range(400)] + [(7, "a", "tie one", 1), (7, "a", "tie two", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars int")
+    placed, _ = pfair_mix.numbered(docs, ["doc_id", "source", "text"], bucket_rows=20)
+    assert sorted(r["place"] for r in placed.collect()) == list(range(402))
+    one, two = ({r["position"]: r["text"] for r in pfair_mix.mix(d, block=4, bucket_rows=20, columns=("doc_id", "source", "text")).collect()} for d in (docs, docs.repartition(7).orderBy(F.desc("text"))))
+    assert one == two and len(one) == 402
+
+
 # --- archives
 
 
