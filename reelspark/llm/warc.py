@@ -1,7 +1,8 @@
 """WARC archives: writing pages as records, reading records back, and putting segmented records together.
 
-Writing goes through Spark's text sink with the record terminator as line separator, so files are committed like any
-other output, to any file system. Payloads that were met before become revisit records. HTTP bodies are sent in
+Each record is a gzip member of its own. Members are packed into rows of bounded size, and the rows go through Spark's
+text sink, whose line separator is an empty member, so files are committed like any other output, to any file system,
+and hold so many rows at most. Payloads that were met before become revisit records. HTTP bodies are sent in
 chunks; a block beyond the segment size is cut into a first record and continuation records (WARC-Segment-Number,
 -Origin-ID, -Total-Length). Reading parses whole files, groups the records of a segmented block by their origin, orders
 them by number, verifies that none is missing and that the total length is right, and then undoes the chunked transfer
@@ -13,6 +14,7 @@ import base64
 import gzip
 import hashlib
 import io
+import zlib
 from itertools import count
 
 import pandas as pd
@@ -25,8 +27,10 @@ from ._common import fresh_path, materialize
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
-#: Records per file, and bytes of blocks that a reader holds at once. A file is read by one task.
-FILE_RECORDS = 10_000
+#: Bytes of members in a row of the sink (one record more at most), and in a file, which is read by one task; and bytes of
+#: blocks that a reader holds at once.
+PACK_BYTES = 1 << 20
+FILE_BYTES = 32 << 20
 READ_BYTES = 8 << 20
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 0
@@ -39,8 +43,15 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id) -> str:
-    return f"<urn:page:{page_id}>"
+def record_id(page_id, rest: str) -> str:
+    """The id of a record of a page. A page number alone isn't one: an id can be repeated with another payload."""
+    return f"<urn:page:{page_id}:{rest}>"
+
+
+def member(record: bytes) -> bytes:
+    """A record with its terminator as a gzip member."""
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return z.compress(record + CRLF + CRLF) + z.flush()
 
 
 def chunked(body: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -168,22 +179,30 @@ def plan_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     return found.select("page_id", "url", "body", "kept")
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_BYTES, per_file: int = FILE_RECORDS) -> None:
+def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_BYTES, file_bytes: int = FILE_BYTES, pack_bytes: int = PACK_BYTES) -> None:
     """Write each page as a response or revisit record into gzipped WARC files under ``path``."""
 
     def run(batches):
-        task, row = TaskContext.get().partitionId(), count()
+        task, row, pack, held = TaskContext.get().partitionId(), count(), [], 0
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(pack)], pa.binary())], ["value"])
         for batch in batches:
-            made = []
             for i, u, b, kept in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "body", "kept"))):
-                # a record that others refer to is known by its page; the rest have numbers, so that ids are unique
-                rid = record_id(i) if i is not None and i == kept else record_id(f"{i}:{task}-{next(row)}")
-                to = record_id(kept) if kept is not None and i is not None and i != kept else None
-                made += [r.decode("utf-8", "replace") for r in records(rid, u, b, digest_of(b), to, segment, chunk)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], ["value"])
-
-    lines = plan_records(pages, least_bytes).mapInArrow(run, "value string")
-    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
+                digest = digest_of(b)
+                # a record that others refer to is known by its page and payload; the rest have numbers
+                rid = record_id(i, digest if i is not None and i == kept else f"{task}-{next(row)}")
+                to = record_id(kept, digest) if kept is not None and i is not None and i != kept else None
+                for r in records(rid, u, b, digest, to, segment, chunk):
+                    pack.append(member(r))
+                    held += len(pack[-1])
+                    if held >= pack_bytes:
+                        yield out()
+                        pack, held = [], 0
+        if pack:
+            yield out()
+
+    rows = plan_records(pages, least_bytes).mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    between = zlib.compressobj(6, zlib.DEFLATED, 31).flush().decode("latin-1")
+    rows.write.option("encoding", "ISO-8859-1").option("lineSep", between).option("maxRecordsPerFile", max(1, file_bytes // pack_bytes)).text(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -238,17 +257,17 @@ def payloads(parsed: DataFrame, verify: bool = True) -> DataFrame:
     return whole.union(cut).mapInPandas(run, schema)
 
 
-def archive_round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_BYTES, per_file: int = FILE_RECORDS) -> DataFrame:
+def archive_round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_BYTES, file_bytes: int = FILE_BYTES, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """Write ``pages``, read the archives back, and tell per page: page_id, payload_bytes, payload_digest, record_type,
     refers_to.
 
     A null html is an empty payload; empty payloads are equal like others. A null url is about:blank. Of equal payloads
-    of ``least_bytes`` bytes or more the largest page_id is the response; of rows repeated with that id each is one. A
-    page with a null id is archived without a number and reported with a null page_id. Other columns are ignored; an
+    of ``least_bytes`` bytes or more the largest page_id is the response; of rows repeated with that id each is one; a
+    page_id with several payloads is a page each time. A page with a null id is archived without a number and reported with a null page_id. Other columns are ignored; an
     empty table gives an empty result."""
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
-    write_archives(pages, path, least_bytes, segment, chunk, per_file)
+    write_archives(pages, path, least_bytes, segment, chunk, file_bytes, pack_bytes)
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)", 1).try_cast("long")
     read = payloads(read_records(spark, path)).drop("payload")
     return read.select(number(F.col("record_id")).alias("page_id"), F.col("n_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))

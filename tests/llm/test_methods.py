@@ -369,7 +369,7 @@ def test_false_archives():
 def test_archives_on_the_tables(spark, smallest):
     pages = spark.read.parquet(f"{smallest}/pages.parquet")
     twice = pages.union(pages.withColumn("page_id", F.col("page_id") + 1_000_000))
-    rows = {r["page_id"]: r for r in warc.archive_round_trip(twice, segment=1500, chunk=400, per_file=40).collect()}
+    rows = {r["page_id"]: r for r in warc.archive_round_trip(twice, segment=1500, chunk=400, file_bytes=40_000, pack_bytes=10_000).collect()}
     for p in pages.collect():
         body = p["html"].encode()
         a, b = rows[p["page_id"]], rows[p["page_id"] + 1_000_000]

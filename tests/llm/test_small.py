@@ -1,6 +1,8 @@
 """Odd rows for every operator: nulls in any column, empty and very long texts, ties, repeats, clashing names, empty
 tables; each with the result that its docstring states."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,7 +157,7 @@ def test_mix(docs):
 
 
 def test_warc(pages):
-    rows = warc.archive_round_trip(pages, segment=4096, chunk=1000, per_file=2).collect()
+    rows = warc.archive_round_trip(pages, segment=4096, chunk=1000, file_bytes=4000, pack_bytes=2000).collect()
     assert len(rows) == len(PAGE_ROWS)
     got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in rows if r["page_id"] is not None}
     assert got[1] == ("response", None, 9) and got[2] == ("revisit", 3, 0) and got[3] == ("response", None, 0) and got[5] == ("response", None, 150_003)
@@ -163,6 +165,33 @@ def test_warc(pages):
     assert warc.archive_round_trip(empty(pages)).count() == 0
 
 
+def test_an_id_with_two_payloads(spark):
+    a, b = "A" * 70_000, "B" * 70_000
+    rows = [(5, a), (3, a), (5, b), (4, b), (9, "c"), (9, "c"), (8, "c"), (None, a)]
+    pages = spark.createDataFrame([(i, "http://h/x", h) for i, h in rows], "page_id long, url string, html string")
+    got = sorted((r["page_id"] is None, r["page_id"] or 0, r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(pages).collect())
+    d = {h: warc.digest_of(h.encode()) for _, h in rows}
+    want = [(False, 5, d[a], "response", None), (False, 3, d[a], "revisit", 5), (False, 5, d[b], "response", None), (False, 4, d[b], "revisit", 5)]
+    want += [(False, 9, d["c"], "response", None)] * 2 + [(False, 8, d["c"], "revisit", 9), (True, 0, d[a], "response", None)]
+    assert got == sorted(want, key=lambda r: r[:4])
+
+
+def test_archives_are_members_in_files_of_bounded_bytes(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "http://h/x", "".join(f"{i * 31 + k * k} " for k in range(3000))) for i in range(60)], "page_id long, url string, html string").repartition(2)
+    warc.write_archives(pages, f"file://{tmp_path}/w", segment=4096, chunk=1000, file_bytes=60_000, pack_bytes=20_000)
+    files = [p.read_bytes() for p in (tmp_path / "w").glob("part-*")]
+    assert len(files) > 2 and all(len(f) < 60_000 + 3 * 4096 for f in files)
+    n = 0
+    for data in files:
+        while data:
+            z = zlib.decompressobj(31)
+            record, data = z.decompress(data) + z.flush(), z.unused_data
+            if record:
+                assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n") and len(list(warc.parse(record))) == 1
+                n += 1
+    assert n == sum(len(list(warc.parse(p.read_bytes()))) for p in (tmp_path / "w").glob("part-*")) > 60
+
+
 def test_html(pages):
     rows = site_style.extract(pages).collect()
     assert len(rows) == len(PAGE_ROWS)
