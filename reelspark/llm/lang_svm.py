@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ._common import HASH_SPACE, materialize, remainder
 
 BITS = 14
-#: More languages than this are refused; it bounds the sample and the number of machines.
+#: More languages than this are refused; it bounds the number of machines.
 MOST_LANGUAGES = 200
 #: Family of a language; one that is missing here is a family of its own.
 FAMILIES = {
@@ -37,6 +37,7 @@ class LangParams:
     modulus: int = 5
     held_out: int = 0
     per_language: int = 1_000
+    sample_rows: int = 20_000
     epochs: int = 30
     cost: float = 10.0
 
@@ -167,28 +168,37 @@ def _features(batches):
         for t in batch.column("_text").to_pylist():
             n = histogram(_lower(t))
             k = np.flatnonzero(n)
-            ks.append(k.astype(np.int32))
-            vs.append((n[k] / max(n.sum(), 1)).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([batch.column("_lang"), pa.array([k.tobytes() for k in ks], pa.binary()), pa.array([v.tobytes() for v in vs], pa.binary())], ["lang", "k", "v"])
+            ks.append(k.astype(np.uint16).tobytes())
+            vs.append((n[k] / max(n.sum(), 1)).astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_lang"), pa.array(ks, pa.binary()), pa.array(vs, pa.binary())], ["id", "lang", "k", "v"])
 
 
-def train(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
-    """Learns from documents that aren't held out, at most ``per_language`` of each language; null or letterless texts
-    and null languages teach nothing. More than MOST_LANGUAGES languages are an error."""
+def training_rows(docs: DataFrame, p: LangParams = LangParams()) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(language, buckets, shares) of the learned documents, one for each sampled id and language: of several texts of one
+    id that of the smallest features counts, so that repeated rows neither take the place of others nor exceed the bound."""
     usable = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).where("_id is not null and _lang is not null").where(remainder(F.col("_id"), p.modulus) != p.held_out)
-    counts = usable.groupBy("_lang").agg(F.count("*").alias("n"))  # one row for each language
+    # one row for each language; only the fraction hangs on the estimate, with a margin of 20 %
+    counts = usable.groupBy("_lang").agg(F.approx_count_distinct("_id", 0.02).alias("n"))
     counts = materialize(counts, "languages")
     if (n := counts.count()) > MOST_LANGUAGES:
         raise ValueError(f"{n} languages are too many; at most {MOST_LANGUAGES} can be learned")
+    most = max(1, min(p.per_language, p.sample_rows // max(n, 1)))
     place = F.pmod(F.xxhash64("_id"), F.lit(HASH_SPACE))
-    share = F.when(F.col("n") > p.per_language, 1.2 * p.per_language / F.col("n") + 1e-4).otherwise(1.0)
-    few = usable.join(F.broadcast(counts), "_lang").where(place < F.lit(HASH_SPACE) * share)
+    share = F.when(F.col("n") > most, 1.2 * most / F.col("n") + 1e-4).otherwise(1.0)
+    few = usable.join(F.broadcast(counts), "_lang").where(place < F.lit(HASH_SPACE) * share).groupBy("_lang", "_id").agg(F.lit(1).alias("_one"))
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy(place, "_id"))
-    ids = few.withColumn("_rank", rank).where(F.col("_rank") <= p.per_language).select("_id", "_lang")
+    chosen = few.withColumn("_rank", rank).where(F.col("_rank") <= most).select("_id", "_lang")
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang")).where(F.col("_text").rlike(r"\p{L}"))
-    rows = texts.join(F.broadcast(ids.distinct()), ["_id", "_lang"]).select("_text", "_lang").mapInArrow(_features, "lang string, k binary, v binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["k"]), bytes(r["v"])))
-    return fit([(r["lang"], np.frombuffer(r["k"], np.int32), np.frombuffer(r["v"], np.float32)) for r in rows], p)
+    read = texts.join(F.broadcast(chosen), ["_id", "_lang"]).select(F.col("_id").cast("string").alias("_id"), "_text", "_lang").mapInArrow(_features, "id string, lang string, k binary, v binary")
+    rows = read.groupBy("id", "lang").agg(F.min(F.struct("k", "v")).alias("x")).collect()
+    rows.sort(key=lambda r: (r["lang"], bytes(r["x"]["k"]), bytes(r["x"]["v"])))
+    return [(r["lang"], np.frombuffer(r["x"]["k"], np.uint16).astype(np.int32), np.frombuffer(r["x"]["v"], np.float32)) for r in rows]
+
+
+def train(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
+    """Learns from documents that aren't held out, at most ``per_language`` of each language and ``sample_rows`` in all;
+    null or letterless texts and null languages teach nothing. More than MOST_LANGUAGES languages are an error."""
+    return fit(training_rows(docs, p), p)
 
 
 def identify(docs: DataFrame, model: LangModel, p: LangParams = LangParams()) -> DataFrame:

@@ -208,6 +208,52 @@ def test_token_counts_on_the_tables(spark, smallest, tokenizer):
     assert all(r["n_tokens"] <= 100 and texts[r["doc_id"]].startswith(r["text"]) and r["truncated"] == (r["text"] != texts[r["doc_id"]]) for r in cut)
 
 
+# --- languages
+
+
+def test_language_of_held_out_rows(spark, smallest):
+    docs = spark.read.parquet(f"{smallest}/documents.parquet")
+    rows = entries.op8_language_id(spark, smallest).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").collect()
+    assert len(rows) > 20 and np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
+
+
+def test_votes_equal_brute_force():
+    """Every classifier by its definition: trigram by trigram, then the best family, then each pair of its languages."""
+    rng = np.random.default_rng(8)
+    langs = ["en", "de", "nl", "fr", "es", "ru"]
+    alphabets = {lang: rng.choice(list("abcdefghijklmnop"), 9) for lang in langs}
+    made = [(lang, "".join(rng.choice([*alphabets[lang], " "], 60))) for lang in langs for _ in range(25)]
+    rows = []
+    for lang, t in made:
+        n = lang_svm.histogram(t.encode())
+        k = np.flatnonzero(n)
+        rows.append((lang, k, n[k] / n.sum()))
+    model = lang_svm.fit(rows)
+    assert model.members == {"germanic": ["de", "en", "nl"], "romance": ["es", "fr"], "slavic": ["ru"]} and len(model.pairs) == 4
+
+    def value(text, column):
+        b = b" " + text.encode() + b" "
+        codes = [int(lang_svm.codes(b[i : i + 3])[0]) for i in range(len(b) - 2)]
+        return sum(model.weights[c, column] for c in codes) / len(codes) + model.weights[-1, column]
+
+    texts = [t for _, t in made] + ["".join(rng.choice(list("abcdefghijklmnop "), 40)) for _ in range(60)]
+    want = []
+    for t in texts:
+        family = max(range(3), key=lambda j: value(t, j))
+        members = model.members[model.families[family]]
+        votes, sums = Counter(), Counter()
+        for j, (a, b) in enumerate(model.pairs, 3):
+            if a in members:
+                v = value(t, j)
+                votes[a if v > 0 else b] += 1
+                sums[a] += v
+                sums[b] -= v
+        want.append(max(members, key=lambda m: (votes[m], sums[m], m)))
+    got, scores = lang_svm.decide(texts, model)
+    assert got == want and all(0 <= s <= 1 for s in scores)
+    assert np.mean([g == lang for g, (lang, _) in zip(got, made)]) > 0.95
+
+
 # --- decontamination
 
 

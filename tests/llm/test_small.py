@@ -137,6 +137,14 @@ def test_no_language_is_dropped(spark):
         lang_svm.train(many)
 
 
+def test_repeated_ids_are_one_row_of_the_language_sample(spark):
+    rows = [(1, "aaa bbb", "en")] * 30_000 + [(i, f"aaa {'bbb ' * i}", "en") for i in range(2, 40)] + [(i, f"zzz {'yyy ' * (i % 30)}", "de") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    assert len(lang_svm.training_rows(docs)) == len({(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5})
+    few = lang_svm.training_rows(docs, lang_svm.LangParams(per_language=10, sample_rows=14))
+    assert [r[0] for r in few] == ["de"] * 7 + ["en"] * 7
+
+
 def test_decontamination(spark, docs):
     bench = spark.createDataFrame([(1, "One two, three four!"), (2, None), (3, ""), (4, "Wort"), (None, "one two three four")], "item_id long, text string")
     rows = decontam.contaminated(docs, bench).collect()
