@@ -1,18 +1,19 @@
 """Benchmark decontamination over SimHash windows.
 
-Texts are lower-cased word sequences, without punctuation. Wherever a document has a 3-word shingle of a benchmark
-item, the window of the item's own length that puts the two shingles on each other can be a copy. A window needs common
-shingles of THRESHOLD times the item's weight to be verified, so windows with less are passed over without loss, and the
-rest are fingerprinted. Fingerprints are looked up in a multi-index: with eight blocks of eight bits, two fingerprints
-within RADIUS = 23 bits differ by two bits at most in some block, so tables of all blocks within two bits guarantee
-every item in the radius. Candidates are verified by the exact weighted Jaccard similarity of the two multisets of
-shingles. The benchmark is small, of a checked size, and is sent to all executors; documents are read once and never
-shuffled."""
+Texts are lower-cased word sequences, without punctuation. A window can only be similar to an item if their common
+3-word shingles have THRESHOLD times the item's weight. So each item is anchored by its rarest shingles: the commonest
+ones that together weigh less than that are left out, and a window without an anchor is passed over without loss.
+Wherever a document has an anchor, the window of the item's own length that puts the two shingles on each other is
+weighed, and fingerprinted if its common shingles suffice. Fingerprints are looked up in a multi-index: with eight blocks
+of eight bits, two fingerprints within RADIUS = 23 bits differ by two bits at most in some block, so the buckets of all
+block values within two bits guarantee every item in the radius. Candidates are verified by the exact weighted Jaccard
+similarity of the two multisets of shingles. The benchmark is small; what is sent to all executors is measured and
+bounded. Documents are read once and never shuffled."""
 
 from __future__ import annotations
 
+import pickle
 import re
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import accumulate
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 
 RADIUS = 23
 THRESHOLD = 0.4
-#: Most bytes of benchmark text in one index, and in all: what is sent to every executor is bounded by them.
-INDEX_BYTES = 4 << 20
+#: Most bytes of benchmark text that the driver gathers, and of the index made of it, as it is sent to every executor.
 MOST_BYTES = 32 << 20
+MOST_INDEX_BYTES = 256 << 20
 OUT = "doc_id long, item_ids array<long>, similarity double, matches array<struct<item_id: long, start: long, words: long, similarity: double>>"
 #: Punctuation beyond ASCII, and a table that turns all other ASCII but letters, digits and _ into spaces.
 _ODD = re.compile("[\u00a0-\u00bf\u00d7\u00f7\u2000-\u206f\u2190-\u2bff\u3000-\u303f\uff00-\uff0f\uff1a-\uff20]")
@@ -46,9 +47,14 @@ def shingles(words: list[bytes]) -> Counter:
     return Counter(zip(words, words[1:], words[2:])) if len(words) > 2 else Counter([tuple(words)] if words else [])
 
 
+#: The block values within RADIUS // 8 bits of each.
+_NEAR = [np.flatnonzero(row) for row in np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // 8]
+
+
 @dataclass
 class Index:
-    """Everything that is known of the items."""
+    """Everything that is known of the items. order[b]: items by the value of block b; those of value v are at
+    starts[b][v]..starts[b][v + 1] - 1."""
 
     ids: list[int]
     words: list[list[bytes]]
@@ -58,7 +64,8 @@ class Index:
     anchors: dict[tuple, list[tuple[int, int]]] = field(default_factory=dict)
     masses: list[float] = field(default_factory=list)
     prints: np.ndarray | None = None
-    near: np.ndarray | None = None
+    order: np.ndarray | None = None
+    starts: np.ndarray | None = None
     sizes: list[int] = field(default_factory=list)
     hashes: dict[tuple, np.ndarray] = field(default_factory=dict)
 
@@ -88,96 +95,101 @@ class Index:
         return common / both if both else 0.0
 
     def candidates(self, print_: np.ndarray, radius: int) -> np.ndarray:
-        """Items within the radius: those that are near in some block, then by the distance itself."""
-        some = np.flatnonzero(self.near[np.arange(8), print_].any(axis=0))
+        """Items within the radius (RADIUS at most): those in a bucket near some block, then by the distance itself."""
+        some = [self.order[b][self.starts[b][v] : self.starts[b][v + 1]] for b in range(8) for v in _NEAR[print_[b]].tolist()]
+        some = np.unique(np.concatenate(some)) if len(self.ids) else np.zeros(0, dtype=np.int64)
         distance = np.bitwise_count(self.prints[some] ^ print_).sum(axis=1)
         return some[distance <= radius]
 
 
-def weights(texts) -> tuple[dict[tuple, float], float]:
-    """The weight of each shingle by the number of items that have it, and that of a shingle of none."""
-    seen: Counter = Counter()
-    n = 1
-    for t in texts:
-        if bag := shingles(words_of(t)):
-            seen.update(bag.keys())
-            n += 1
-    return {s: float(np.log1p(n / k)) for s, k in seen.items()}, float(np.log1p(n))
+def anchored(bag: Counter, index: Index, mass: float, threshold: float) -> set[tuple]:
+    """The shingles of an item without the lightest ones that together weigh less than ``threshold`` of it."""
+    spare, out = threshold * mass - 1e-9, set(bag)
+    for s in sorted(bag, key=lambda s: (index.weight(s), s)):
+        spare -= bag[s] * index.weight(s)
+        if spare <= 0:
+            break
+        out.discard(s)
+    return out
 
 
-def build(items: list[tuple[int, str]], all_weights: tuple[dict[tuple, float], float] | None = None) -> Index:
-    """Items without a word are never found. Items of one or two words are found by their whole text. all_weights: those of
-    all items, if these are a part of them."""
+def build(items: list[tuple[int, str]], threshold: float = THRESHOLD) -> Index:
+    """The index of all items. Items without a word are never found; those of one or two words are found by their whole
+    text."""
     kept = [(i, w) for i, t in items if (w := words_of(t))]
     bags = [shingles(w) for _, w in kept]
-    idf, rare = all_weights or weights(t for _, t in items)
-    index = Index([i for i, _ in kept], [w for _, w in kept], idf, rare, bags)
+    seen = Counter(s for bag in bags for s in bag)
+    n = len(bags) + 1
+    index = Index([i for i, _ in kept], [w for _, w in kept], {s: float(np.log1p(n / k)) for s, k in seen.items()}, float(np.log1p(n)), bags)
+    index.masses = [sum(k * index.weight(s) for s, k in b.items()) for b in bags]
     for at, (_, w) in enumerate(kept):
-        size = min(3, len(w))
+        size, own = min(3, len(w)), anchored(bags[at], index, index.masses[at], threshold)
         for q in range(len(w) - size + 1):
-            index.anchors.setdefault(tuple(w[q : q + size]), []).append((at, q))
-    index.masses = [sum(k * index.weight(s) for s, k in b.items()) for b in bags]
+            if (gram := tuple(w[q : q + size])) in own:
+                index.anchors.setdefault(gram, []).append((at, q))
     index.sizes = sorted({len(k) for k in index.anchors})
     index.prints = np.stack([index.simhash(b) for b in bags]) if bags else np.zeros((0, 8), dtype=np.uint8)
-    close = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // 8
-    index.near = np.stack([close[:, index.prints[:, b]] for b in range(8)])
+    index.order = np.stack([np.argsort(index.prints[:, b], kind="stable") for b in range(8)]).astype(np.int32)
+    index.starts = np.stack([np.searchsorted(np.sort(index.prints[:, b]), np.arange(257)) for b in range(8)]).astype(np.int32)
     index.hashes.clear()
     return index
 
 
-def find(text: str | None, index: Index, radius: int = RADIUS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
-    """(item_id, first word, words, similarity): for each item its most similar window in the text, if verified."""
-    return find_in(text, [index], radius, threshold)
+def _windows(words: list[bytes], index: Index, threshold: float) -> set[tuple[int, int]]:
+    """(first word, words) of the windows whose shingles in common with an item can reach the threshold."""
+    anchors, hits, out = index.anchors, {}, set()
+    for size in index.sizes:
+        for p, gram in [x for x in enumerate(zip(*(words[k:] for k in range(size)))) if x[1] in anchors]:
+            for at, q in anchors[gram]:
+                hits.setdefault(at, set()).add(p - q)
+    for at, found in hits.items():
+        bag, n = index.bags[at], min(len(index.words[at]), len(words))
+        size = min(3, len(index.words[at]))
+        weigh = lambda part: [index.weight(g) if g in bag else 0.0 for g in zip(*(part[k:] for k in range(size)))]
+        least = threshold * index.masses[at] - 1e-9
+        starts = {max(min(s, len(words) - n), 0) for s in found}
+        if len(starts) * n < len(words):
+            out |= {(s, n) for s in starts if sum(weigh(words[s : s + n])) >= least}
+        else:
+            sums = [0.0, *accumulate(weigh(words))]
+            out |= {(s, n) for s in starts if sums[max(s, min(s + n - size + 1, len(sums) - 1))] - sums[min(s, len(sums) - 1)] >= least}
+    return out
 
 
-def find_in(text: str | None, parts: list[Index], radius: int = RADIUS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
-    """``find`` in a benchmark of several parts with the same weights: the windows of all parts are looked up in each, so
-    that the result is that of one index."""
+def find(text: str | None, index: Index, radius: int = RADIUS, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
+    """(item_id, first word, words, similarity): for each item its most similar window in the text, if verified."""
     words = words_of(text)
-    windows: set[tuple[int, int]] = set()
-    for index in parts:
-        anchors = index.anchors
-        hits: dict[int, list[tuple[int, int, float]]] = {}
-        for size in index.sizes:
-            for p, gram in [x for x in enumerate(zip(*(words[k:] for k in range(size)))) if x[1] in anchors]:
-                for at, q in anchors[gram]:
-                    hits.setdefault(at, []).append((p, p - q, index.weight(gram)))
-        for at, found in hits.items():
-            least, n = threshold * index.masses[at] - 1e-9, min(len(index.words[at]), len(words))
-            if sum(w for _, _, w in found) < least:
-                continue
-            places = [p for p, _, _ in found]
-            sums = [0.0, *accumulate(w for _, _, w in found)]
-            for start in {max(min(s, len(words) - n), 0) for _, s, _ in found}:
-                if sums[bisect_right(places, start + n)] - sums[bisect_left(places, start)] >= least:
-                    windows.add((start, n))
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for start, n in sorted(windows):
-        bag = shingles(words[start : start + n])
-        print_ = parts[0].simhash(bag)
-        for k, index in enumerate(parts):
-            for at in index.candidates(print_, radius):
-                s = index.similarity(bag, index.bags[at])
-                if s >= threshold and ((k, at) not in best or (s, -start) > (best[k, at][0], -best[k, at][1])):
-                    best[k, at] = (s, start, n)
-    return [(parts[k].ids[at], start, n, s) for (k, at), (s, start, n) in sorted(best.items())]
-
-
-def indexes(benchmark: DataFrame, most_bytes: int = INDEX_BYTES) -> list[Index]:
-    """The benchmark, in as many indexes as its checked size asks for; all weigh shingles by all items."""
+    best: dict[int, tuple[float, int, int]] = {}
+    known: dict[tuple, list[tuple[int, float]]] = {}  # windows of the same words are verified once
+    for start, n in sorted(_windows(words, index, threshold)):
+        part = tuple(words[start : start + n])
+        verified = known.get(part)
+        if verified is None:
+            bag = shingles(list(part))
+            near = [(at, index.similarity(bag, index.bags[at])) for at in index.candidates(index.simhash(bag), radius).tolist()]
+            verified = known[part] = [(at, s) for at, s in near if s >= threshold]
+        for at, s in verified:
+            if at not in best or (s, -start) > (best[at][0], -best[at][1]):
+                best[at] = (s, start, n)
+    return [(index.ids[at], start, n, s) for at, (s, start, n) in sorted(best.items())]
+
+
+def index_of(benchmark: DataFrame, threshold: float = THRESHOLD) -> Index:
+    """The index of a benchmark, with both its text and itself of a checked size; its items in the order of ids."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     if size > MOST_BYTES:
-        raise ValueError(f"a benchmark of {size} bytes is too large to be sent to all executors")
+        raise ValueError(f"a benchmark of {size} bytes is too large to be gathered")
     rows = sorted(((r["item_id"], r["text"]) for r in items.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    idf = weights(t for _, t in rows)
-    out, part, held = [], [], 0
-    for r in rows:
-        part.append(r)
-        held += len(r[1].encode())
-        if held >= most_bytes:
-            out, part, held = [*out, build(part, idf)], [], 0
-    return [*out, build(part, idf)] if part or not out else out
+    return build(rows, threshold)
+
+
+def shipped_index(benchmark: DataFrame, threshold: float):
+    """The index as a broadcast of checked size."""
+    index = index_of(benchmark, threshold)
+    if (size := len(pickle.dumps(index, pickle.HIGHEST_PROTOCOL))) > MOST_INDEX_BYTES:
+        raise ValueError(f"an index of {size} bytes is too large to be sent to all executors")
+    return benchmark.sparkSession.sparkContext.broadcast(index)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD) -> DataFrame:
@@ -186,13 +198,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, th
 
     Null, empty and wordless texts and items match nothing. A null doc_id stays null; repeated rows are judged each;
     equal items are all reported; other columns are ignored; empty tables give an empty result."""
-    shipped = docs.sparkSession.sparkContext.broadcast(indexes(benchmark))
+    shipped = shipped_index(benchmark, threshold)
 
     def run(batches):
         for batch in batches:
             ids, found = [], []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()):
-                hits = find_in(t, shipped.value, radius, threshold)
+                hits = find(t, shipped.value, radius, threshold)
                 if hits:
                     ids.append(i)
                     found.append(hits)
@@ -206,12 +218,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, th
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no benchmark item, with all columns of ``docs``."""
-    shipped = docs.sparkSession.sparkContext.broadcast(indexes(benchmark))
+    shipped = shipped_index(benchmark, threshold)
     place = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            yield batch.filter(pa.array([not find_in(t, shipped.value, radius, threshold) for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([not find(t, shipped.value, radius, threshold) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -493,23 +494,47 @@ def test_very_long_texts():
     assert site_style.main_text("<b>" * 20_000 + "deep" + "</b>" * 20_000 + '<p title="a>b">end <i x="') == 'deep end <i x="'
 
 
-def test_benchmark_in_parts(spark, smallest):
-    bench = spark.read.parquet(f"{smallest}/benchmark.parquet")
-    parts = decontam.indexes(bench, most_bytes=1000)
-    assert len(parts) > 3 and sorted(i for p in parts for i in p.ids) == sorted(r["item_id"] for r in bench.collect())
-    text = bench.first()["text"]
-    assert any(decontam.find(text, p) for p in parts)
-
-
-def test_parts_find_what_one_index_finds(spark):
-    shared = "the quick answer to all of these questions is the same long phrase"
-    items = [(i, f"{shared} " * (i % 3) + " ".join(f"w{i * 7 + k}" for k in range(9 + i % 5))) for i in range(30)]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    texts = [f"before {t} w1 w2 {shared} w3 after {items[i - 1][1]}" for i, t in items] + [shared, " ".join(f"w{k}" for k in range(80))]
-    one = decontam.indexes(bench)
-    want = [decontam.find(t, one[0]) for t in texts]
-    assert len(one) == 1 and any(want)
-    for most_bytes in (1, 300, 2000):
-        parts = decontam.indexes(bench, most_bytes)
-        assert len(parts) > 1 and [decontam.find_in(t, parts) for t in texts] == want
-        assert all(np.array_equal(np.concatenate([p.prints for p in parts]), one[0].prints) for _ in parts)
+def test_templated_items():
+    """A phrase that all items share anchors none of them, and what an item has of its own is found."""
+    rng = np.random.default_rng(6)
+    items = [(i, "which of the following is the best description of " + " ".join(f"w{x}" for x in rng.integers(0, 5000, 12))) for i in range(4000)]
+    index = decontam.build(items)
+    assert max(len(v) for v in index.anchors.values()) < 10
+    began = time.perf_counter()
+    assert decontam.find("which of the following is the best description of nothing " * 25, index) == []
+    assert time.perf_counter() - began < 0.5
+    assert 77 in {h[0] for h in decontam.find(f"before {items[77][1]} after", index)}
+
+
+def test_every_similar_window_has_an_anchor():
+    """Brute force over all windows, with items of shared and repeated phrases."""
+    rng = np.random.default_rng(9)
+    phrase = "the quick answer to all of these questions"
+    items = [(i, f"{phrase} " * (i % 3) + " ".join(f"v{x}" for x in rng.integers(0, 60, 6 + i % 5))) for i in range(30)] + [(50, "again " * 9)]
+    index = decontam.build(items)
+    for _ in range(60):
+        i = int(rng.integers(0, 31))
+        words = items[i][1].split()
+        for k in rng.integers(0, len(words), rng.integers(0, 3)):
+            words[k] = f"v{rng.integers(0, 60)}"
+        text = " ".join([*(f"v{x}" for x in rng.integers(0, 60, 8)), *words, phrase, "again again"])
+        assert {h[0] for h in decontam.find(text, index)} == brute_matches(text, index, decontam.THRESHOLD, decontam.RADIUS)
+
+
+def test_repetitive_texts():
+    index = decontam.build([(1, "again " * 30), (2, "again and again " * 10)])
+    began = time.perf_counter()
+    hits = decontam.find("again and again " * 70_000, index)
+    assert 2 in {h[0] for h in hits} and decontam.find("again " * 200_000, index)[0][:3] == (1, 0, 30)
+    assert time.perf_counter() - began < 20
+
+
+def test_an_index_too_large_to_send_is_refused(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i}") for i in range(50)], "item_id long, text string")
+    assert len(decontam.index_of(bench).ids) == 50
+    monkeypatch.setattr(decontam, "MOST_INDEX_BYTES", 1000)
+    with pytest.raises(ValueError, match="index"):
+        decontam.contaminated(bench.withColumnRenamed("item_id", "doc_id"), bench)
+    monkeypatch.setattr(decontam, "MOST_BYTES", 100)
+    with pytest.raises(ValueError, match="benchmark"):
+        decontam.index_of(bench)
