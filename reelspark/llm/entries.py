@@ -77,12 +77,15 @@ def _op4_sql() -> str:
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, kind) for kind, h, p in rules]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{name}'" for c, name, _ in fits) + " END"
     kind = "CASE " + " ".join(f"WHEN {c} THEN '{k}'" for c, _, k in fits) + " END"
-    listed = " OR ".join(f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}'))" for h, _, p in (e.partition("/") for e in url_bloom.LISTED))
+    names = lambda words: "unnest([" + ", ".join(f"'{w}'" for w in words) + "])"
+    tracked = " OR ".join(f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path || coalesce(query, ''), '/{p}'))" for h, _, p in (e.partition("/") for e in url_bloom.TRACKERS))
     return f"""
     WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
     parts AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-                     coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest)
-    SELECT page_id, host, path, {rule} AS rule, coalesce({kind}, CASE WHEN {listed} THEN 'block' ELSE 'allow' END) AS verdict FROM parts"""
+                     coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path, regexp_extract(rest, '^[^?#]*(\\?[^#]*)', 1) AS query FROM rest),
+    listed AS (SELECT a || '-' || b || '.' || z AS site FROM (SELECT {names(url_bloom.FIRST)} AS a), (SELECT {names(url_bloom.LAST)} AS b), (SELECT {names(url_bloom.ZONES)} AS z)),
+    judged AS (SELECT *, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) IN (SELECT site FROM listed) OR {tracked} AS found FROM parts)
+    SELECT page_id, host, path, {rule} AS rule, coalesce({kind}, CASE WHEN found THEN 'block' ELSE 'allow' END) AS verdict FROM judged"""
 
 
 def _op10_sql() -> str:

@@ -3,10 +3,10 @@
 A listed entry is ``host/path``; it covers its host with all subdomains, and all paths that begin with it, a query
 included. Entries and URLs are looked up in one canonical form (``canonical``), while rules and results keep the host and
 path as they stand in the URL. An entry without a path covers the whole host; one with a port that isn't the default
-covers that port only. The keys of a URL are its ``host suffix + path prefix`` forms, with the prefixes of those lengths
-that the list has. Each key sets or tests four bits within one block of 64, so a probe touches one word. The filter has a
-fixed size whatever the list, and passes only possible hits to an exact hash join with the list, which takes out the
-false positives."""
+covers that port only. The keys of a URL are its ``host suffix + path prefix`` forms of those shapes (labels of the host,
+characters of the path) that the list has, so their number doesn't grow with the URL. Each key sets or tests four bits
+within one block of 64, so a probe touches one word. The filter is sized by the list up to a bound, and passes only
+possible hits to an exact hash join with the list, which takes out the false positives."""
 
 from __future__ import annotations
 
@@ -22,10 +22,21 @@ RULES = (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
-#: The block list of production: known spam sites.
-LISTED = ("spam-farm.example.org/", "cheap-pills.example.com/")
-#: Words of 64 bits in the filter: 512 KB, fixed.
-WORDS = 1 << 16
+#: The block list of production: hosts of spam farms, which are named by two words of this trade, and trackers by URL.
+FIRST = (
+    "adult ads affiliate bargain bet bets big bonus buy cash casino cheap click crypto date diet discount easy fake fast free fx gold hot instant jackpot link loan loans "
+    "lotto lucky luxury meds money pharma pills poker porn prize promo quick replica rich rx sale sex slim slots spam super top traffic viagra vip win xxx"
+).split()
+LAST = (
+    "ads bank bets bonus box cams cash casino chat city click club coins deals dates farm farms finder games girls hits hub king kings land link links live loans lotto mart meds money now "
+    "offers online outlet palace pharmacy pills play poker prizes profit seo shop slots spins store surf track traffic videos watches win wins world x xxx zone"
+).split()
+ZONES = ("example.com", "example.net", "example.org")
+TRACKERS = ("count.example.net/pixel", "go.example.org/out?to=", "www.example.net:8080/feed/spam/")
+LISTED = tuple(f"{a}-{b}.{z}/" for a in FIRST for b in LAST for z in ZONES) + TRACKERS
+#: Bits of the filter for each entry, and its least and most words of 64 bits (16 MB); a longer list only lets more pass.
+BITS = 16
+LEAST_WORDS, MOST_WORDS = 1 << 10, 1 << 21
 
 
 def with_parts(pages: DataFrame, *more: str) -> DataFrame:
@@ -86,14 +97,15 @@ def canonical(df: DataFrame, url, scheme: str = "[^/?#]*?") -> DataFrame:
     return df.withColumn("_port", F.when((F.col("_port") == "") | default, F.lit("")).otherwise(F.coalesce(F.concat(F.lit(":"), "_port"), F.lit("")))).drop("_scheme", "_rest", "_authority", "_query")
 
 
-def listed_keys(site, port, where, lengths):
-    """The forms under which a URL could be listed: host suffixes, with the port and without, and prefixes of the lengths."""
+def listed_keys(site, port, where, shapes):
+    """The forms under which a URL could be listed: for each shape (labels, chars) of the list the host's last labels, with
+    the port and without, and so many characters of path and query."""
     labels = F.split(site, r"\.")
-    n = F.size(labels)
-    hosts = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    hosts = F.when(port == "", hosts).otherwise(F.concat(hosts, F.transform(hosts, lambda h: F.concat(h, port))))
-    heads = F.transform(F.filter(lengths, lambda k: k <= F.length(where)), lambda k: F.substr(where, F.lit(1), k))
-    return F.flatten(F.transform(hosts, lambda h: F.transform(heads, lambda p: F.concat(h, p))))
+    fits = F.filter(shapes, lambda x: (x["labels"] <= F.size(labels)) & (x["chars"] <= F.length(where)))
+    host = lambda x: F.array_join(F.slice(labels, F.size(labels) - x["labels"] + 1, x["labels"]), ".")
+    head = lambda x: F.substr(where, F.lit(1), x["chars"])
+    plain = F.transform(fits, lambda x: F.concat(host(x), head(x)))
+    return F.when(port == "", plain).otherwise(F.concat(plain, F.transform(fits, lambda x: F.concat(host(x), port, head(x)))))
 
 
 def _bits(key):
@@ -107,7 +119,12 @@ def _word(key, words: int):
     return F.pmod(F.xxhash64(key), F.lit(words)).cast("int")
 
 
-def bloom(listed: DataFrame, words: int = WORDS) -> DataFrame:
+def words_for(entries: int) -> int:
+    """Words of a filter for so many entries: a power of two within the bounds."""
+    return min(MOST_WORDS, max(LEAST_WORDS, 1 << max(0, (entries * BITS - 1) // 64).bit_length()))
+
+
+def bloom(listed: DataFrame, words: int) -> DataFrame:
     """One row with ``filter``: an array of ``words`` longs. Built by aggregation; the list is never collected."""
     spark = listed.sparkSession
     set_ = listed.groupBy(_word(F.col("key"), words).alias("w")).agg(F.bit_or(_bits(F.col("key"))).alias("bits"))
@@ -120,22 +137,37 @@ def listed_table(spark: SparkSession, entries=LISTED) -> DataFrame:
     return spark.createDataFrame([(e,) for e in entries], "key string")
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, words: int = WORDS) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict. listed: a column key, of entries ``host/path``.
-
-    A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed. Null and repeated
-    entries of the list, and repeated pages, are fine, and an entry without a host covers nothing; a null page_id stays
-    null; other columns are ignored; an empty list blocks nothing; an empty table gives an empty result."""
+def prepared(listed: DataFrame, words: int | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """The canonical list (key, labels, chars), one row with its filter and shapes, and the words of the filter."""
     entries = canonical(listed.where("key is not null").select("key"), F.col("key")).where("_site <> ''")
-    listed = entries.select(F.concat("_site", "_port", "_where").alias("key"), F.length("_where").alias("_n")).distinct()
-    lengths = listed.agg(F.collect_set("_n").alias("lengths"))
+    shape = F.size(F.split("_site", r"\.")).alias("labels"), F.length("_where").alias("chars")
+    listed = materialize(entries.select(F.concat("_site", "_port", "_where").alias("key"), *shape).distinct(), "listed")
+    words = words or words_for(listed.count())
+    shapes = listed.agg(F.array_sort(F.collect_set(F.struct("labels", "chars"))).alias("shapes"))
+    return listed, materialize(bloom(listed, words).crossJoin(shapes), "bloom"), words
+
+
+def probe(pages: DataFrame, filtered: DataFrame, words: int, rules=RULES) -> DataFrame:
+    """page_id, host, path, rule, ruled, _url, and hits: the forms of a URL without a rule that pass the filter."""
     parts = with_parts(canonical(pages, F.col("url"), ".*?"), "_site", "_port", "_where").withColumn("rule", rule_column("rule", rules)).withColumn("ruled", rule_column("kind", rules))
-    bits = F.broadcast(materialize(bloom(listed, words).crossJoin(lengths), "bloom"))  # one row: 8 * words bytes and a few lengths
+    bits = F.broadcast(filtered)  # one row: 8 * words bytes and the shapes
     open_ = F.col("ruled").isNull() & (F.col("host") != "")
     test = lambda k: F.get(F.col("filter"), _word(k, words)).bitwiseAND(_bits(k)) == _bits(k)
-    keys = listed_keys(F.col("_site"), F.col("_port"), F.col("_where"), F.col("lengths"))
+    keys = listed_keys(F.col("_site"), F.col("_port"), F.col("_where"), F.col("shapes"))
     hits = F.when(open_, F.filter(keys, test)).otherwise(F.array().cast("array<string>"))
-    probed = parts.crossJoin(bits).select("page_id", "host", "path", "rule", "ruled", F.concat("_site", "_port", "_where").alias("_url"), hits.alias("hits"))
+    return parts.crossJoin(bits).select("page_id", "host", "path", "rule", "ruled", F.concat("_site", "_port", "_where").alias("_url"), hits.alias("hits"))
+
+
+def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, words: int | None = None) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict. listed: a column key, of entries ``host/path``; words: those of
+    the filter, by default as many as the list asks for.
+
+    A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed. Null and repeated
+    entries of the list, and repeated pages, are fine, and an entry without a host covers nothing; a null page_id stays
+    null; very long URLs are looked up in as many forms as others; other columns are ignored; an empty list blocks nothing;
+    an empty table gives an empty result."""
+    listed, filtered, words = prepared(listed, words)
+    probed = probe(pages, filtered, words, rules)
     # the few possible hits go to the exact join, by the URL itself: repeated URLs are looked up once
     possible = probed.where(F.size("hits") > 0).select("_url", F.explode("hits").alias("key")).distinct()
     sure = possible.join(listed, "key").select("_url").distinct().withColumn("listed", F.lit(True))

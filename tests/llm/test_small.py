@@ -1,6 +1,7 @@
 """Odd rows for every operator: nulls in any column, empty and very long texts, ties, repeats, clashing names, empty
 tables; each with the result that its docstring states."""
 
+import time
 import zlib
 
 import pytest
@@ -112,6 +113,30 @@ def test_listed_urls_in_any_form(spark):
     assert (rows[0]["host"], rows[0]["path"], rows[6]["path"]) == ("user:pw@spam.example.org:80", "/a", "/a/../x/y")
 
 
+def test_the_filter_decides_pages_and_the_join_takes_out_false_positives(spark, smallest):
+    pages = spark.read.parquet(smallest.replace("sf0.001", "sf0.01") + "/pages.parquet")
+    assert len(url_bloom.LISTED) > 8_000
+    listed, filtered, words = url_bloom.prepared(url_bloom.listed_table(spark))
+    assert words == url_bloom.words_for(len(url_bloom.LISTED)) == 4096
+    rows = {r["page_id"]: r for r in url_bloom.filter_urls(pages, url_bloom.listed_table(spark)).collect()}
+    decided = {i for i, r in rows.items() if r["rule"] is None and r["verdict"] == "block"}
+    keys = {k.rstrip("/") for k in url_bloom.LISTED}
+    assert len(decided) >= 5 and decided == {i for i, r in rows.items() if r["rule"] is None and ".".join(r["host"].split(".")[-3:]) in keys}
+    few = 256  # a filter that is too small passes strangers
+    _, small, _ = url_bloom.prepared(url_bloom.listed_table(spark), few)
+    passed = {r["page_id"] for r in url_bloom.probe(pages, small, few).where(F.size("hits") > 0).collect()}
+    assert passed > decided
+    assert {r["page_id"]: r["verdict"] for r in url_bloom.filter_urls(pages, url_bloom.listed_table(spark), words=few).collect()} == {i: r["verdict"] for i, r in rows.items()}
+    assert url_bloom.words_for(0) == url_bloom.LEAST_WORDS and url_bloom.words_for(10**12) == url_bloom.MOST_WORDS and url_bloom.words_for(10**6) == 1 << 18
+
+
+def test_very_long_urls(spark):
+    urls = ["http://h.example.org" + "/a" * 20_000, "http://" + "a." * 10_000 + "casino-win.example.org/" + "b/" * 9_000, "http://h.example.org/" + "./" * 4_000 + "x", "http://h.example.org/" + "a/../" * 3_000 + "x?" + "%61" * 5_000]
+    began = time.perf_counter()
+    rows = url_bloom.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), url_bloom.listed_table(spark)).collect()
+    assert {r["page_id"]: r["verdict"] for r in rows} == {0: "allow", 1: "block", 2: "allow", 3: "allow"} and time.perf_counter() - began < 60
+
+
 def test_tokens(docs):
     rows = {r["doc_id"]: r for r in token_prefix.count_tokens(docs).collect()}
     assert rows[2]["n_tokens"] == rows[3]["n_tokens"] == 0 and rows[3]["n_bytes"] == 0 and rows[4]["over_limit"] and rows[6]["n_bytes"] == 14
