@@ -440,6 +440,80 @@ def test_html_on_the_tables(spark, smallest):
     assert all(r["n_chars"] == len(r["text"]) for r in rows.values())
 
 
+def bare(pages):
+    """The pages without any element or name that tells what is the article."""
+    html_ = F.regexp_replace("html", r"<(/?)(article|nav|footer)\b[^>]*>", "<$1div>")
+    return pages.withColumn("html", F.regexp_replace(html_, '<div class="ad">', "<div>"))
+
+
+def test_the_tree_alone_finds_the_article_of_a_large_host(spark, smallest):
+    pages = spark.read.parquet(smallest.replace("sf0.001", "sf0.1") + "/pages.parquet")
+    host = pages.groupBy(site_style.host_of(F.col("url")).alias("h")).count().orderBy(F.desc("count")).first()["h"]
+    pages = pages.where(site_style.host_of(F.col("url")) == host)
+    want = {r["page_id"]: article(r["html"]) for r in pages.collect()}
+    rows = {r["page_id"]: r["text"] for r in site_style.extract(bare(pages)).collect()}
+    assert len(want) > 300 and rows == want
+    alone = {r["page_id"]: site_style.main_text(r["html"]) for r in bare(pages).collect()}
+    assert all(alone[i] != t for i, t in want.items())  # without the tree no page is right
+
+
+def test_entropies_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    made = []
+    for i in range(60):
+        items = "".join(f"<li>item {x}</li>" for x in rng.integers(0, 5, rng.integers(1, 4)))
+        paragraphs = "".join(f"<p>words {x}</p>" for x in rng.integers(0, 200, rng.integers(1, 5)))
+        made.append((i, f"http://h.example/{i}", f"<body><div class='a'><ul>{items}</ul></div><div class='b'>{paragraphs}</div><div class='c'>Call {i % 3}</div></body>"))
+    made += [(100 + i, *made[i][1:]) for i in range(20)]  # copies count once
+    pages = spark.createDataFrame(made, "page_id long, url string, html string")
+    read = [site_style.read_page(h) for _, _, h in made]
+    different = {site_style.page_features(p): p for p in read}.values()
+    on, texts, styles, parent = Counter(), {}, {}, {}
+    for p in different:
+        on.update(set(p.nodes))
+        for node, up, text in set(zip(p.nodes, p.parents, p.texts)):
+            texts.setdefault(node, Counter())[text] += 1
+            parent[node] = up
+        for up in set(p.parents):
+            styles.setdefault(up, Counter()).update(p.styles.get(up, {}))
+    want = {}
+    for node, counts in texts.items():
+        m, own = on[node], styles[parent[node]]
+        content = sum(n * np.log(n) / np.log(m) for n in counts.values()) / sum(counts.values())
+        total = sum(own.values())
+        presentation = -sum(n / total * np.log(n / total) for n in own.values()) / np.log(total)
+        want[node] = (m, presentation, content)
+    tree, common = site_style.style_tree(site_style.read_pages(pages))
+    got = {r["node"]: (r["pages"], r["presentation"], r["content"]) for r in tree.collect()}
+    assert got.keys() == want.keys() and len(want) == 3 and all(np.allclose(got[k], want[k]) for k in want)
+    assert {r["host_pages"] for r in tree.collect()} == {len(different)}
+    known = {x["node"]: x["importance"] for x in site_style.judged(tree, common).first()["known"]}
+    assert all(np.isclose(known[k], 0.1 * p + 0.9 * (1 - c)) for k, (_, p, c) in want.items())
+    rows = {r["page_id"]: r["text"] for r in site_style.extract(pages).collect()}
+    low = {k for k in known if known[k] < site_style.LEAST_IMPORTANCE}
+    assert low and rows == {made[i][0]: " ".join(t for t, k in zip(p.texts, p.nodes) if k not in low) for i, p in enumerate(read)}
+
+
+def test_names_within_an_article(spark):
+    inside = "<h1>T</h1><p class='related-work'>Earlier work {0}</p><p id='discussion'>We discuss {0}</p><p class='notice'>Note {0}</p><p><a href='x'>A linked line {0}</a></p>"
+    assert html_texts(spark, [f"<article class='post'>{inside.format(i)}</article>" for i in range(3)]) == {i: f"T Earlier work {i} We discuss {i} Note {i} A linked line {i}" for i in range(3)}
+    clear = "<div class='comments'><p>First!</p></div><div class='share-bar'>Share</div><div class='ad'>Buy</div><aside>Side</aside><form>Send</form><div class='related'><ul><li><a href='x'>Other</a></li></ul></div>"
+    assert site_style.main_text(f"<article>{inside.format(1)}{clear}</article>") == "T Earlier work 1 We discuss 1 Note 1 A linked line 1"
+    # the tree agrees that such a branch is the same everywhere, or doesn't
+    bodies = [f"<article><p>Own {i}</p><div class='notice'><p>We use this and that</p></div><div class='discussion'><p>Ours {i * 7}</p></div></article>" for i in range(30)]
+    assert html_texts(spark, bodies) == {i: f"Own {i} Ours {i * 7}" for i in range(30)}
+    assert site_style.main_text("<h1><a href=x>My headline</a></h1><p>Body</p><ul><li><a href=x>Menu</a></li></ul>") == "My headline Body"
+
+
+def test_broken_tags_are_read_in_linear_time():
+    for piece in ('<a "', "<a ", "<!", "<a '\"", "<b x='", "<script>"):
+        began = time.perf_counter()
+        text = site_style.main_text(f"<p>one</p>{piece * 200_000}")
+        assert text.startswith("one") and time.perf_counter() - began < 5, piece
+    assert site_style.main_text('<p title="a>b">end <i x="') == 'end <i x="'
+    assert site_style.main_text("<p title='a>b' class=\"x\">one</p><p t='>two <b>three</b>") == "one <p t='>two three"
+
+
 def test_style_tree_removes_what_every_page_has(spark):
     """No article element and no telling names: only the tree can know."""
     made = [(i, f"http://h.example/{i}", f"<html><body><div class='a'><p>Our company news since 1999</p></div><div class='b'><h2>Title {i}</h2><p>Text of page {i} &amp; more</p><p>Only here {i * 7}</p></div><div class='c'><span>Call us today</span></div></body></html>") for i in range(20)]
