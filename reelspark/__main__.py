@@ -1,8 +1,9 @@
-"""python -m reelspark: list or run the registered queries, or run the second and third phase on a folder of artefacts."""
+"""python -m reelspark: list or run the registered queries, or run one of the three phases."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -13,6 +14,16 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("name")
     one.add_argument("tables")
     one.add_argument("--out", help="write Parquet there instead of showing rows")
+    ex = sub.add_parser("extract", help="media to scenes, keyframes, speech and screen text, with models of your own")
+    ex.add_argument("media", help="folder of media files")
+    ex.add_argument("out")
+    ex.add_argument("--pattern", default="*.mp4")
+    ex.add_argument("--models", help="module:name of a plans.phases.Models")
+    ex.add_argument("--no-align", action="store_true")
+    ex.add_argument("--diarize", action="store_true")
+    ex.add_argument("--scene-threshold", type=float, default=27.0)
+    ex.add_argument("--blur-threshold", type=float, default=100.0)
+    ex.add_argument("--no-skip", action="store_true", help="make again what is there already")
     for name in ("align", "review"):
         x = sub.add_parser(name, help={"align": "timeline, chunks, vectors and exports", "review": "coverage, flags, questions"}[name])
         x.add_argument("root")
@@ -29,7 +40,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
+    from .config import ExtractConfig
     from .plans import phases
     from .sources import artifacts
 
@@ -38,6 +51,14 @@ def main(argv: list[str] | None = None) -> int:
         df = registry.queries()[a.name](spark, a.tables)
         df.write.mode("overwrite").parquet(a.out) if a.out else df.show(truncate=80)
         return 0
+    if a.command == "extract":
+        module, _, attribute = (a.models or "").partition(":")
+        models = getattr(importlib.import_module(module), attribute) if module else phases.Models()
+        config = ExtractConfig(scene_threshold=a.scene_threshold, blur_threshold=a.blur_threshold)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", a.pattern).load(a.media).select("path")
+        media = files.select(F.xxhash64("path").alias("video_id"), "path")
+        phases.phase_one(spark, media, a.out, models, config, not a.no_align, a.diarize, not a.no_skip).table(spark).show(truncate=False)
+        return 0
     tables = artifacts.bundle(spark, a.root, a.videos)
     if a.command == "align":
         times = phases.phase_two(spark, tables, a.out, faithful=not a.corrected)

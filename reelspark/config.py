@@ -9,6 +9,7 @@ from dataclasses import dataclass
 class ExtractConfig:
     blur_threshold: float = 100.0
     first_sharp_tries: int = 10
+    first_step_ms: int = 33
     long_scene_ms: int = 30_000
     long_scene_step_ms: int = 5_000
     pixel_delta: int = 30

@@ -30,6 +30,13 @@ def tfidf_cosine(pairs: DataFrame, key: str = "chunk_id", max_df: float | None =
     return pairs.select(key).join(sums.select(key, score.alias("score")), key, "left").select(key, F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
+def with_scores(chunks: DataFrame, key: str = "chunk_id", max_df: float | None = 0.95) -> DataFrame:
+    """The chunks with alignment_score. Where that is known to be 0 it is no join."""
+    if max_df is not None and max_df * 2 < 2:
+        return chunks.withColumn("alignment_score", F.lit(0.0))
+    return chunks.join(tfidf_cosine(chunks, key, max_df).withColumnRenamed("score", "alignment_score"), key)
+
+
 def average(scores: DataFrame) -> DataFrame:
     """One row; null without chunks."""
     return scores.agg(F.avg("score").alias("avg_alignment"))

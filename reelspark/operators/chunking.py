@@ -50,9 +50,15 @@ def join_segments(groups: DataFrame, segments: DataFrame) -> DataFrame:
     return interval_join(spans, segments, "video_id", ("t_start_ms", "t_end_ms"), ("start_ms", "end_ms"), "closed")
 
 
-def ordered_text(df: DataFrame, keys: list[str], ix: str, text: str, alias: str, sep: str = " ") -> DataFrame:
+def ordered_text(df: DataFrame, keys: list[str], ix: str, text: str, alias: str, sep: str = " ", more=()) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct(F.col(ix).alias("i"), F.col(text).alias("t"))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(rows, lambda r: r["t"]), sep).alias(alias), F.count("*").alias("n"))
+    return df.groupBy(*keys).agg(F.array_join(F.transform(rows, lambda r: r["t"]), sep).alias(alias), F.count("*").alias("n"), *more)
+
+
+def speech_chars(groups: DataFrame, segments: DataFrame) -> DataFrame:
+    """video_id, grp, asr_chars: the length of what ``build_chunks`` would make of the texts, without making it."""
+    lengths = segments.select("video_id", "start_ms", "end_ms", F.length("text").alias("_n"))
+    return join_segments(groups, lengths).groupBy("video_id", "grp").agg((F.sum("_n") + F.count("*") - 1).alias("asr_chars"))
 
 
 def join_keyframes(groups: DataFrame, keyframes: DataFrame) -> DataFrame:
@@ -65,9 +71,12 @@ def join_ocr(chunk_frames: DataFrame, frames: DataFrame) -> DataFrame:
 
 
 def build_chunks(scenes: DataFrame, segments: DataFrame, keyframes: DataFrame, chapters: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """The chunk table: identity, span, chapter, speech and keyframes. Each side is aggregated before it is joined."""
+    """The chunk table: identity, span, chapter, speech and keyframes. Each side is aggregated before it is joined. If the
+    segments have scores (``enrich.with_scores``), asr_confidence comes of the same join and aggregation as the text."""
     groups = merge_scenes(scenes, config)
-    speech = ordered_text(join_segments(groups, segments), ["video_id", "grp"], "seg_ix", "text", "asr_text").withColumnRenamed("n", "n_segments")
+    scored = "score_sum" in segments.columns
+    more = [F.coalesce(F.try_divide(F.sum("score_sum"), F.sum("score_n")), F.lit(0.0)).alias("asr_confidence")] if scored else []
+    speech = ordered_text(join_segments(groups, segments), ["video_id", "grp"], "seg_ix", "text", "asr_text", more=more).withColumnRenamed("n", "n_segments")
     frames = join_keyframes(groups, keyframes).groupBy("video_id", "grp").agg(F.array_sort(F.collect_list(F.struct("frame_id", "filename"))).alias("_f"))
     out = find_chapter(groups, chapters).join(speech, ["video_id", "grp"], "left").join(frames, ["video_id", "grp"], "left")
     empty = F.array().cast("array<struct<frame_id:int,filename:string>>")
@@ -77,11 +86,18 @@ def build_chunks(scenes: DataFrame, segments: DataFrame, keyframes: DataFrame, c
         "video_id", "grp", F.lit("youtube").alias("source"), "t_start_ms", "t_end_ms", "chapter_index", "chapter_title", "scene_id", "merged_scene_ids",
         F.coalesce("asr_text", F.lit("")).alias("asr_text"), F.coalesce("n_segments", F.lit(0)).alias("n_segments"),
         F.transform(f, lambda x: x["frame_id"]).alias("keyframe_ids"), F.transform(f, lambda x: x["filename"]).alias("keyframe_paths"), (F.size(f) > 0).alias("has_keyframe"),
+        *[F.coalesce("asr_confidence", F.lit(0.0)).alias("asr_confidence")] * scored,
     )
 
 
-def to_public(chunks: DataFrame) -> DataFrame:
-    """The public columns, in their order; those that no stage has made yet get their defaults."""
+def with_ids(groups: DataFrame, chapters: DataFrame) -> DataFrame:
+    """The groups with their chapter and chunk_id."""
+    made = find_chapter(groups, chapters)
+    return made.withColumn("chunk_id", F.concat(F.col("video_id").cast("string"), F.lit("_ch"), F.col("chapter_index").cast("string"), F.lit("_sc"), F.col("scene_id").cast("string")))
+
+
+def to_public(chunks: DataFrame, *more: str) -> DataFrame:
+    """The public columns, in their order, and ``more``; those that no stage has made yet get their defaults."""
     from ..schemas import CHUNK
 
     types = {}
@@ -89,7 +105,7 @@ def to_public(chunks: DataFrame) -> DataFrame:
         types[part.name] = part.dataType
     defaults = {"asr_confidence": F.lit(0.0), "ocr_confidence": F.lit(0.0), "alignment_score": F.lit(0.0), "ocr_text": F.lit(""), "merged_text": F.lit("")}
     cols = [F.col(n) if n in chunks.columns else defaults.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items() if not n.endswith("_embedding") or n in chunks.columns]
-    return chunks.select(*cols)
+    return chunks.select(*cols, *more)
 
 
 def spark_fields(df: DataFrame, ddl: str):

@@ -12,6 +12,13 @@ def asr_confidence(words: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")
     return words.groupBy(*keys).agg(F.coalesce(F.avg(score), F.lit(0.0)).alias("asr_confidence"))
 
 
+def with_scores(segments: DataFrame, use_probability: bool = False) -> DataFrame:
+    """Segments with score_sum and score_n of their words, summed within the row, so that no word is ever a row."""
+    value = lambda w: F.coalesce(w["score"], w["probability"]) if use_probability else w["score"]
+    scores = F.filter(F.transform("words", value), lambda x: x.isNotNull())
+    return segments.withColumn("score_sum", F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)).withColumn("score_n", F.size(scores))
+
+
 def ocr_confidence(blocks: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")) -> DataFrame:
     """Mean over the blocks of all frames of a chunk, before any are dropped."""
     return blocks.groupBy(*keys).agg(F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("ocr_confidence"))

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -61,10 +60,13 @@ def transcript(segments: DataFrame) -> DataFrame:
 
 def detect_scenes(frame_scores: DataFrame, videos: DataFrame, threshold: float = 27.0, min_ms: int = 300) -> DataFrame:
     """Cuts where the content score of a frame reaches the threshold, if the scene so far is long enough.
-    frame_scores: video_id, t_ms, score. A cut less than ``min_ms`` behind the last possible one is passed over."""
-    w = W.partitionBy("video_id").orderBy("t_ms")
-    hits = frame_scores.where(F.col("score") >= threshold).withColumn("_before", F.coalesce(F.lag("t_ms").over(w), F.lit(0)))
-    cuts = hits.where(F.col("t_ms") - F.col("_before") >= min_ms).select("video_id", "t_ms").union(videos.select("video_id", F.lit(0).cast("long").alias("t_ms"))).distinct()
+    frame_scores: video_id, t_ms, score. A hit less than ``min_ms`` behind the last kept cut (the start, at first) is
+    passed over. The fold is one JVM aggregate over the sorted hits of a video."""
+    hits = frame_scores.where(F.col("score") >= threshold).groupBy("video_id").agg(F.sort_array(F.collect_set(F.col("t_ms").cast("long"))).alias("ts"))
+    start = F.struct(F.lit(0).cast("long").alias("last"), F.array().cast("array<bigint>").alias("kept"))
+    step = lambda acc, t: F.when(t - acc["last"] >= min_ms, F.struct(t.alias("last"), F.concat(acc["kept"], F.array(t)).alias("kept"))).otherwise(acc)
+    kept = hits.select("video_id", F.explode(F.aggregate("ts", start, step, lambda acc: acc["kept"])).alias("t_ms"))
+    cuts = kept.union(videos.select("video_id", F.lit(0).cast("long").alias("t_ms"))).distinct()
     return K.scenes_from_cuts(cuts, videos)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A longer interval than this is a mistake in the data (70 days, by the minute), and would be spread without end.
+MOST_BUCKETS = 100_000
 BOUNDS = ("closed", "open", "half_open", "contains")
 
 
@@ -26,24 +28,21 @@ def matches(bounds: str, ls: Column, le: Column, rs: Column, re: Column) -> Colu
     raise ValueError(f"bounds is one of {BOUNDS}")
 
 
-def interval_join(left: DataFrame, right: DataFrame, key: str, l: tuple[str, str], r: tuple[str, str], bounds: str, bucket_ms: int = 60_000, how: str = "inner") -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, key: str, l: tuple[str, str], r: tuple[str, str], bounds: str, bucket_ms: int = 60_000) -> DataFrame:
     """Columns of both sides (key once) for each matching pair. Intervals are [start, end] with start <= end; those that
-    end before they start match nothing. ``how`` is inner or left."""
+    end before they start match nothing, and one over more than MOST_BUCKETS buckets is an error."""
     number = lambda c: F.floor(F.col(c) / bucket_ms)
-    spread = lambda df, s, e, name: df.where(F.col(e) >= F.col(s)).withColumn(name, F.explode(F.sequence(number(s), number(e))))
+
+    def spread(df, s, e, name):
+        wide = F.raise_error(F.concat(F.lit(f"an interval over more than {MOST_BUCKETS} buckets: "), F.col(s).cast("string"), F.lit(" to "), F.col(e).cast("string")))
+        buckets = F.when(number(e) - number(s) < MOST_BUCKETS, F.sequence(number(s), number(e))).otherwise(wide.cast("array<bigint>"))
+        return df.where(F.col(e) >= F.col(s)).withColumn(name, F.explode(buckets))
+
     a = spread(left, *l, "_bucket").withColumn("_first_l", number(l[0]))
     b = spread(right.withColumnRenamed(key, "_key"), *r, "_bucket_r").withColumn("_first_r", number(r[0]))
     on = (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_bucket_r")) & (F.col("_bucket") == F.greatest("_first_l", "_first_r"))
     joined = a.join(b, on & matches(bounds, F.col(l[0]), F.col(l[1]), F.col(r[0]), F.col(r[1])))
-    joined = joined.drop("_key", "_bucket", "_bucket_r", "_first_l", "_first_r")
-    if how == "inner":
-        return joined
-    found = joined.select(*[F.col(c).alias(f"_l_{c}") for c in left.columns]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in left.columns]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    return joined.unionByName(left.join(found, on, "left_anti"), allowMissingColumns=True)
+    return joined.drop("_key", "_bucket", "_bucket_r", "_first_l", "_first_r")
 
 
 def as_of(points: DataFrame, starts: DataFrame, key: str, at: str, start: str, value: str) -> DataFrame:

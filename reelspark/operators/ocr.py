@@ -44,23 +44,36 @@ def dedup_sequential(frames: DataFrame, overlap: float = 0.9, group: str = "vide
     return sorted_.select(group, F.explode(F.aggregate("xs", start, step, lambda a: a["kept"])).alias("frame_id"))
 
 
-def clean_frames(blocks: DataFrame, chrome: DataFrame) -> DataFrame:
-    """video_id, frame_id, text: each frame's text in reading order without blocks of chrome tokens only.
-
-    A video's chrome is one array (no longer than a frame has tokens, on average, by 1 / share), so no token is ever
-    exploded or shuffled here; grouping by frame reuses the partitioning by video."""
+def _told(blocks: DataFrame, chrome: DataFrame) -> DataFrame:
+    """Blocks with _content: whether they have a token that isn't chrome. A video's chrome is one array (no longer than a
+    frame has tokens, on average, by 1 / share), so no token is ever exploded or shuffled here."""
     per_video = chrome.groupBy("video_id").agg(F.collect_list("token").alias("_chrome"))
     none = F.array().cast("array<string>")
-    told = blocks.join(per_video, "video_id", "left").withColumn("_content", F.size(F.array_except(T.tokens(F.col("text")), F.coalesce("_chrome", none))) > 0)
+    return blocks.join(per_video, "video_id", "left").withColumn("_content", F.size(F.array_except(T.tokens(F.col("text")), F.coalesce("_chrome", none))) > 0)
+
+
+def clean_frames(blocks: DataFrame, chrome: DataFrame) -> DataFrame:
+    """video_id, frame_id, text: each frame's text in reading order without blocks of chrome tokens only; and, if the
+    blocks have a confidence, its sum and number over all blocks. Grouping by frame reuses the partitioning by video."""
     kept = F.array_sort(F.collect_list(F.when(F.col("_content"), F.struct("y", "x", "block_ix", "text"))))
-    return told.groupBy("video_id", "frame_id").agg(F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"))
+    more = [F.sum("confidence").alias("conf_sum"), F.count("confidence").alias("conf_n")] if "confidence" in blocks.columns else []
+    return _told(blocks, chrome).groupBy("video_id", "frame_id").agg(F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"), *more)
 
 
 def chunk_text(chunk_frames: DataFrame, cleaned: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")) -> DataFrame:
-    """Non-empty frame texts of each chunk, in order, between bars; '' for a chunk without any."""
+    """Non-empty frame texts of each chunk, in order, between bars; '' for a chunk without any. With the sums of
+    ``clean_frames`` ocr_confidence, the mean over all blocks (null without any), comes of the same aggregation."""
     rows = chunk_frames.select(*keys, "frame_id").join(cleaned, ["video_id", "frame_id"], "left")
     texts = F.array_sort(F.collect_list(F.struct("frame_id", F.coalesce("text", F.lit("")).alias("t"))))
-    return rows.groupBy(*keys).agg(T.joined_frames(F.transform(texts, lambda r: r["t"])).alias("ocr_text"))
+    more = [F.try_divide(F.sum("conf_sum"), F.sum("conf_n")).alias("ocr_confidence")] if "conf_sum" in cleaned.columns else []
+    return rows.groupBy(*keys).agg(T.joined_frames(F.transform(texts, lambda r: r["t"])).alias("ocr_text"), *more)
+
+
+def screen_chars(chunk_frames: DataFrame, blocks: DataFrame, chrome: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")) -> DataFrame:
+    """keys, ocr_chars: the length of what ``chunk_text`` would make, by partial sums, without making any text."""
+    told = _told(blocks, chrome).where("_content").groupBy("video_id", "frame_id").agg((F.sum(F.length("text")) + F.count("*") - 1).alias("_n"))
+    rows = chunk_frames.select(*keys, "frame_id").join(told, ["video_id", "frame_id"])
+    return rows.groupBy(*keys).agg((F.sum("_n") + 3 * (F.count("*") - 1)).alias("ocr_chars"))
 
 
 def by_frame(blocks: DataFrame) -> DataFrame:

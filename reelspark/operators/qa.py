@@ -17,7 +17,7 @@ def prompt(chapter: Column, start_ms: Column, end_ms: Column, asr: Column, ocr:
     """The request for one chunk; missing speech or text is said in words."""
     s, e = (start_ms / 1000).cast("double"), (end_ms / 1000).cast("double")
     say = lambda c, alt: F.coalesce(F.nullif(c, F.lit("")), F.lit(alt))
-    head = F.format_string("Write %d questions with answers about one part of a tutorial.\nChapter: %s\nFrom %.1f s to %.1f s (%.1f s)\n", F.lit(pairs), chapter, s, e, e - s)
+    head = F.format_string("Write %d questions with answers about one part of a tutorial.\nChapter: %s\nFrom %.1f s to %.1f s (%.1f s)\n", F.lit(pairs), chapter, s, e, (end_ms - start_ms) / 1000)
     rule = "\nReply with a JSON array of objects with the keys question, answer and evidence_type, which is spoken, visual or both. Ask at least once about what is visible."
     return F.concat(head, F.lit("Said:\n"), say(asr, "[No speech]"), F.lit("\nShown:\n"), say(ocr, "[No on-screen text]"), F.lit(rule))
 

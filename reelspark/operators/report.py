@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -41,6 +42,18 @@ def chunk_images(chunks: DataFrame, images: DataFrame) -> DataFrame:
     return out.select("video_id", "chunk_id", "i", "path", F.coalesce("_by_path", "_by_name").alias("image"))
 
 
+def issues(gaps: DataFrame, flags: DataFrame, most: int = 20) -> DataFrame:
+    """What the section of gaps shows of each video: every keyframe gap, and the first flags; each list with its places,
+    and the number of its rows before any were left out."""
+    w = W.partitionBy("video_id").orderBy("start_ms")
+    n = lambda df: df.groupBy("video_id").agg(F.count("*").alias("total"))
+    span = F.format_string("%.1fs - %.1fs (%.1fs)", F.col("start_ms") / 1000, F.col("end_ms") / 1000, F.col("duration_sec"))
+    listed = gaps.withColumn("position", F.row_number().over(w)).join(n(gaps), "video_id")
+    a = listed.select("video_id", F.lit("gap").alias("list"), "position", "total", F.col("gap_type").alias("issue"), "severity", span.alias("description"))
+    b = shown_flags(flags, most).join(n(flags), "video_id")
+    return a.union(b.select("video_id", F.lit("flag"), "position", "total", "flag_type", "severity", F.concat("description", F.lit(" - "), T.basename(F.col("location")))))
+
+
 def shown_flags(flags: DataFrame, most: int = 20) -> DataFrame:
     """The first flags of each video's list, as the report shows them."""
     return flags.where(F.col("position") <= most)

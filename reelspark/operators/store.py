@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 
+#: Most bytes of query vectors that are sent to the executors at once.
+QUERY_BYTES = 32 << 20
+
 
 def mean_pool(frames: DataFrame, keys: tuple[str, ...], vector: str = "embedding") -> DataFrame:
     """Mean of the unit vectors of each group, place by place; the mean isn't brought to unit length."""
@@ -50,18 +54,63 @@ def search(points: DataFrame, query: list[float], k: int = 5, vector: str = "emb
     return rows.withColumn("score", V.cosine(F.col(vector), q)).orderBy(F.col("score").desc(), key).limit(k)
 
 
-def search_batch(points: DataFrame, queries: DataFrame, k: int = 5, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id", blocks: int = 64) -> DataFrame:
-    """The k best points for every query of a stated set. Points are cut into blocks; each block finds its own k best
-    per query before anything is shuffled, so that only k rows per query and block travel."""
-    q = queries.select(F.col(query_key), V.normalized(F.col(vector)).alias("_q"))
-    p = points.select(F.col(key), V.normalized(F.col(vector)).alias("_p"))
-    scored = p.crossJoin(q).select(query_key, key, V.dot(F.col("_q"), F.col("_p")).alias("score")).withColumn("_block", F.pmod(F.xxhash64(key), F.lit(blocks)))
-    inner = W.partitionBy(query_key, "_block").orderBy(F.col("score").desc(), key)
-    best = scored.withColumn("r", F.row_number().over(inner)).where(F.col("r") <= k)
+def search_batch(points: DataFrame, queries: DataFrame, k: int = 5, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id", most_bytes: int = QUERY_BYTES) -> DataFrame:
+    """The k best points by cosine for every query of a stated set; ties by key. Keys are whole numbers.
+
+    Queries go over the points in parts of at most ``most_bytes``, each of checked size and sent to all executors once: a
+    batch of points is one matrix product, of which only its k best of each query go on. Repeated keys are rows like
+    others; a zero vector has cosine 0 with everything; vectors of another length than the first query's are an error."""
+    unit = lambda df, name: df.select(F.col(name).cast("long").alias("_key"), V.normalized(F.col(vector)).alias("_v"))
+    q = unit(queries, query_key).where("_key is not null")
+    schema = f"{query_key} long, {key} long, score double"
+    size = q.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("_v")), F.lit(1)).alias("dim")).first()
+    parts = max(1, -(-size["n"] * 8 * (max(size["dim"], 1) + 1) // most_bytes))
+    spark, best = points.sparkSession, None
+    rows = q.withColumn("_part", F.pmod(F.xxhash64("_key"), F.lit(parts))) if parts > 1 else q
+    for part in range(parts):
+        mine = (rows.where(F.col("_part") == part).drop("_part") if parts > 1 else rows).toArrow()
+        ids, matrix = _matrix(mine["_key"], mine["_v"])
+        one = unit(points, key).mapInArrow(_nearest(spark.sparkContext.broadcast((ids, matrix)), k, (query_key, key, "score")), schema)
+        best = one if best is None else best.union(one)
     outer = W.partitionBy(query_key).orderBy(F.col("score").desc(), key)
     return best.withColumn("rank", F.row_number().over(outer)).where(F.col("rank") <= k).select(query_key, key, "score", "rank")
 
 
+def _matrix(keys, vectors) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.asarray(keys.to_pylist(), dtype=np.int64)
+    rows = [np.asarray(v, dtype=np.float64) for v in vectors.to_pylist()]
+    return keys, np.stack(rows) if rows else np.zeros((0, 0))
+
+
+def _nearest(shipped, k: int, names: tuple[str, ...]):
+    import pyarrow as pa
+
+    def run(batches):
+        ids, matrix = shipped.value
+        held = None  # for each query the keys and scores of its best so far
+        for batch in batches:
+            if not len(ids) or not batch.num_rows:
+                continue
+            mask = [v is not None for v in batch.column("_v").to_pylist()]
+            batch = batch.filter(pa.array(mask)) if not all(mask) else batch
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                keys, vectors = _matrix(part.column("_key"), part.column("_v"))
+                if not len(keys):
+                    continue
+                scores = np.round(matrix @ vectors.T, 12)  # so that equal vectors tie
+                named = np.broadcast_to(keys, scores.shape)
+                if held is not None:
+                    named, scores = np.concatenate([held[0], named], axis=1), np.concatenate([held[1], scores], axis=1)
+                order = np.lexsort((named, -scores), axis=1)[:, :k]
+                held = np.take_along_axis(named, order, axis=1), np.take_along_axis(scores, order, axis=1)
+        if held is not None:
+            n = held[0].shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(held[0].ravel()), pa.array(held[1].ravel())], list(names))
+
+    return run
+
+
 def scroll_range(points: DataFrame, low: int, high: int, column: str = "t_start_ms") -> DataFrame:
     return points.where(F.col(column).between(low, high))
 

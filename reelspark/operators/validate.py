@@ -137,8 +137,9 @@ def quality_flags(keyframes: DataFrame, blocks: DataFrame, chunks: DataFrame, co
 def content_density(chunks: DataFrame, top: int = 3) -> DataFrame:
     """The richest and the thinnest chunks of each video by characters of speech and screen, ties in chunk order; the
     thinnest are the last of the falling order, so both lists may share chunks.
-    chunks: video_id, grp, chunk_id, asr_text, ocr_text, t_start_ms, t_end_ms."""
-    a, o, d = F.length("asr_text"), F.length("ocr_text"), (F.col("t_end_ms") - F.col("t_start_ms")) / 1000
+    chunks: video_id, grp, chunk_id, t_start_ms, t_end_ms, and asr_chars and ocr_chars, or else asr_text and ocr_text."""
+    chars = lambda n: F.coalesce(f"{n}_chars", F.lit(0)) if f"{n}_chars" in chunks.columns else F.length(f"{n}_text")
+    a, o, d = chars("asr").cast("long"), chars("ocr").cast("long"), (F.col("t_end_ms") - F.col("t_start_ms")) / 1000
     scored = chunks.select("video_id", "grp", "chunk_id", (a + o).alias("total_text_chars"), a.alias("asr_chars"), o.alias("ocr_chars"), d.alias("duration_sec"), F.when(d > 0, (a + o) / d).otherwise(0.0).alias("density"))
     down = W.partitionBy("video_id").orderBy(F.col("total_text_chars").desc(), "grp")
     up = W.partitionBy("video_id").orderBy("total_text_chars", F.col("grp").desc())

@@ -11,7 +11,7 @@ from ..sources import artifacts as A
 from ..sources import sinks
 from .queries import _QA, _chunks, _replies, _scene_docs, _texts
 from .registry import query
-from .review import _KG, _WIN, _flags, _windows
+from .review import _KG, _UNION, _WIN, _flags, _windows
 
 
 def _turns(c):
@@ -22,7 +22,7 @@ def _turns(c):
 def _listen(frames):
     for f in frames:
         start = f["seg_ix"] * 1.5
-        words = [[{"word": w, "start_s": s, "end_s": s + 0.1, "probability": 0.25} for w in (t or "").split()[:1]] for s, t in zip(start, f["text"])]
+        words = [[{"word": w, "start_s": s, "end_s": s + 0.1, "probability": 0.25} for w in (t or "").split()] for s, t in zip(start, f["text"])]
         yield f[["video_id", "seg_ix"]].assign(start_s=start, end_s=start + 1.2345, text=f["text"], words=words)[["video_id", "seg_ix", "start_s", "end_s", "text", "words"]]
 
 
@@ -34,9 +34,10 @@ def _(c):
     return extract.transcribe(_turns(c), _listen)
 
 
-@query("udtf_align_words", "video_id:l seg_ix:l score:d", _HEARD + "@@SELECT video_id, seg_ix, CASE WHEN trim(text) <> '' THEN 0.25 END AS score FROM heard")
+@query("udtf_align_words", "video_id:l seg_ix:l words:l score:d spoken:s", _HEARD + r"@@SELECT *, len(w) AS words, len(w) * 0.25::DOUBLE AS score, array_to_string(w, ' ') AS spoken FROM (SELECT *, list_filter(string_split_regex(text, '\s+'), lambda t: t <> '') AS w FROM heard)")
 def _(c):
-    return extract.align_words(extract.transcribe(_turns(c), _listen)).withColumn("score", F.get("words", 0)["score"])
+    aligned = extract.align_words(extract.transcribe(_turns(c), _listen))
+    return aligned.select("video_id", "seg_ix", F.aggregate("words", F.lit(0.0), lambda a, w: a + w["score"]).alias("score"), F.array_join("words.word", " ").alias("spoken"), F.size("words").alias("words"))
 
 
 @query("asr_orchestrate", "video_id:l transcript:s", _HEARD + """@@SELECT video_id, string_agg('[' || printf('%02d:%02d:%02d.%03d', start_ms // 3600000, start_ms // 60000 % 60, start_ms // 1000 % 60, start_ms % 1000) || ' -> '
@@ -64,9 +65,19 @@ def _(c):
     return b.select("video_id", F.size("text_blocks").alias("blocks"), F.array_max(F.transform("text_blocks", lambda x: F.get(x["bbox"], 3))).alias("bottom"), T.full_text(F.col("text_blocks")).alias("full_text"))
 
 
-@query("udtf_layout", "video_id:l regions:l", "SELECT doc_id AS video_id, 0 AS regions FROM documents")
+def _lay_out(frames):
+    """A stand-in for a layout model: each line is a region, the first one a title."""
+    for f in frames:
+        regions = [[{"type": "text" if i else "title", "bbox": [0.0, 20.0 * i, 10.0, 20.0 * i + 16], "confidence": 0.5 + 0.25 * (i % 2)} for i, _ in enumerate((t or "").split("\n"))] for t in f["text"]]
+        yield f[["video_id", "frame_id"]].assign(layout_regions=regions)
+
+
+@query("udtf_layout", "video_id:l regions:l titles:l bottom:d confidence:d none:l", "SELECT doc_id AS video_id, n AS regions, 1 AS titles, 20.0 * (n - 1) + 16 AS bottom, 0.5 * n + 0.25 * (n // 2) AS confidence, 0 AS none FROM (SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n FROM documents)")
 def _(c):
-    return extract.read_layout(_images(c)).select("video_id", F.size("layout_regions").alias("regions"))
+    r, bare = extract.read_layout(_images(c), _lay_out), extract.read_layout(_images(c)).select("video_id", F.size("layout_regions").alias("none"))
+    total = F.aggregate("layout_regions", F.lit(0.0), lambda a, x: a + x["confidence"])
+    titles = F.size(F.filter("layout_regions", lambda x: x["type"] == "title"))
+    return r.select("video_id", F.size("layout_regions").alias("regions"), titles.alias("titles"), F.array_max(F.transform("layout_regions", lambda x: F.get(x["bbox"], 3))).alias("bottom"), total.alias("confidence")).join(bare, "video_id")
 
 
 @query("udf_qa_generate", "chunk_id:s question:s evidence_type:s", "SELECT chunk_id, 'What is said here?' AS question, 'spoken' AS evidence_type FROM texts WHERE asr_text <> '' UNION ALL SELECT chunk_id, 'What is shown here?', 'visual' FROM texts WHERE ocr_text <> ''")
@@ -115,14 +126,17 @@ def _(c):
     return lines(c.spark.read.parquet(paths["parquet"]), "parquet").union(lines(c.spark.read.text(paths["jsonl"]), "jsonl")).union(docs)
 
 
-@query("sink_html", "video_id:l chunks:l ok:b", "SELECT video_id, count(*) AS chunks, true AS ok FROM chunks GROUP BY 1")
+@query("sink_html", "video_id:l title:s chunks:s listed:l bars:l", _KG + ", " + _UNION + """@@SELECT v.video_id, v.title, (SELECT string_agg(chunk_id, ',' ORDER BY t_start_ms, chunk_id) FROM chunks x WHERE x.video_id = v.video_id) AS chunks,
+  (SELECT count(*) FROM kg x WHERE x.video_id = v.video_id) + (SELECT count(*) FROM flags x WHERE x.video_id = v.video_id AND position <= 20) AS listed,
+  CASE WHEN v.duration_s > 0 THEN (SELECT count(*) FROM chapters x WHERE x.video_id = v.video_id) + (SELECT count(*) FROM scenes x WHERE x.video_id = v.video_id) + (SELECT count(*) FROM keyframes x WHERE x.video_id = v.video_id) + (SELECT count(*) FROM kg x WHERE x.video_id = v.video_id) ELSE 0 END AS bars FROM videos v""")
 def _(c):
     gaps = validate.keyframe_gaps(c.keyframes)
     summary = c.videos.select("video_id", "title", "duration_s")
     strip = report.strip_positions(c.videos, c.chapters, c.scenes, c.keyframes, gaps)
     chunks = _texts(c).select("video_id", "t_start_ms", "chunk_id", "asr_text", "ocr_text")
     made = report.pages(summary, strip, gaps, report.shown_flags(_flags(c)), chunks)
-    return made.select("video_id", F.regexp_count("html", F.lit("<section>")).alias("chunks"), F.col("html").startswith("<!DOCTYPE html>").alias("ok"))
+    ids = F.regexp_extract_all("html", F.lit("<section><h3>([^<]*)</h3>"), F.lit(1))
+    return made.select("video_id", F.regexp_extract("html", "<tr><th>title</th><td>([^<]*)</td></tr>", 1).alias("title"), F.array_join(ids, ",").alias("chunks"), F.regexp_count("html", F.lit("<li>")).alias("listed"), F.regexp_count("html", F.lit('<i class=')).alias("bars"))
 
 
 @query("src_skip_existing", "n:l made:l", "SELECT count(*) AS n, 1 AS made FROM scenes")
@@ -145,10 +159,16 @@ def _(c):
     return store.scroll_range(c.spark.read.parquet(path).where("label = 2"), 10, 400)
 
 
-@query("ext_late_fusion", "query_id:l vec_id:l", "SELECT CAST(vec_id AS BIGINT) AS query_id, vec_id FROM embeddings WHERE vec_id % 20 = 0")
+_HALF = ", ".join(f"{n} AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u FROM (SELECT vec_id, embedding[{a}:{b}]::DOUBLE[] AS e FROM embeddings))" for n, a, b in (("left_half", 1, 32), ("right_half", 33, 64)))
+_RANKED = ", ".join(f"{n}_ranked AS (SELECT * FROM (SELECT a.vec_id AS query_id, b.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_sum(list_transform(range(1, 33), lambda i: a.u[i] * b.u[i])), 12) DESC, b.vec_id) AS rank FROM {n} a, {n} b WHERE a.vec_id % 20 = 0) WHERE rank <= 5)" for n in ("left_half", "right_half"))
+
+
+@query("ext_late_fusion", "query_id:l vec_id:l score:d", _HALF + ", " + _RANKED + "@@SELECT query_id, vec_id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (SELECT * FROM left_half_ranked UNION ALL SELECT * FROM right_half_ranked) GROUP BY 1, 2")
 def _(c):
-    """Every query's best fused point is itself."""
+    """Two rankings of the same points, by the halves of their vectors, as if these were of text and image."""
     e = c.table("embeddings")
-    found = store.search_batch(e, e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 3)
-    fused = store.fuse(found, found, "vec_id")
-    return fused.groupBy("query_id").agg(F.max_by("vec_id", "score").alias("vec_id"))
+    found = []
+    for at in (1, 33):
+        half = e.select("vec_id", F.slice("embedding", at, 32).alias("embedding"))
+        found.append(store.search_batch(half, half.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 5))
+    return store.fuse(*found, "vec_id")

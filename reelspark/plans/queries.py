@@ -37,7 +37,11 @@ def _keyframe_docs(c):
 
 
 def _asr_docs(c):
-    item = F.struct(F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), "text", "speaker")
+    score = lambda i: ((F.col("event_id") * 31 + i * 7) % 100) / F.lit(100.0)
+    word = lambda w, i: F.struct(w.alias("word"), (F.col("start_ms") + i).alias("start"), (F.col("start_ms") + i + 1).alias("end"), F.when(i % 5 < 4, score(i)).alias("score"), F.when(i % 5 == 4, score(i)).alias("probability"))
+    words = F.transform(F.filter(F.split("text", " "), lambda t: t != ""), word)
+    sure = F.when(F.col("seg_ix") % 3 > 0, (F.col("seg_ix") % 10) / F.lit(10.0))
+    item = F.struct(F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), "text", "speaker", sure.alias("confidence"), words.alias("words"))
     return _documents(c, c.segments, "segments", item, F.col("seg_ix"), S.ASR)
 
 
@@ -81,9 +85,12 @@ def _(c):
     return A.metadata(_metadata_docs(c)).withColumn("tags", F.size("tags"))
 
 
-@query("src_p1_asr", "video_id:l seg_ix:l start_ms:l end_ms:l text:s speaker:s word_count:l", "SELECT video_id, seg_ix, start_ms, end_ms, text, speaker, 0 AS word_count FROM segments")
+@query("src_p1_asr", "video_id:l seg_ix:l start_ms:l end_ms:l text:s speaker:s word_count:l last_word:s last_end:l scores:d scored:l",
+       """SELECT s.video_id, s.seg_ix, s.start_ms, s.end_ms, s.text, s.speaker, s.word_count, list_filter(string_split(s.text, ' '), lambda t: t <> '')[-1] AS last_word, CASE WHEN s.word_count > 0 THEN s.start_ms + s.word_count END AS last_end,
+  coalesce(w.scores, 0) AS scores, coalesce(w.scored, 0) AS scored FROM segments s LEFT JOIN (SELECT video_id, seg_ix, sum(score) AS scores, count(score) AS scored FROM words GROUP BY 1, 2) w ON w.video_id = s.video_id AND w.seg_ix = s.seg_ix""")
 def _(c):
-    return A.segments(_asr_docs(c))
+    last = F.try_element_at("words", F.lit(-1))
+    return enrich.with_scores(A.segments(_asr_docs(c))).withColumns({"last_word": last["word"], "last_end": last["end"]}).withColumnsRenamed({"score_sum": "scores", "score_n": "scored"})
 
 
 @query("src_p1_scenes", "video_id:l scene_id:l start_ms:l end_ms:l duration_ms:l", "SELECT * FROM scenes")
@@ -107,7 +114,7 @@ def _(c):
     return A.chapters(_metadata_docs(c))
 
 
-@query("src_p3_asr", "video_id:l seg_ix:l confidence:d", "SELECT video_id, seg_ix, 1.0 AS confidence FROM segments")
+@query("src_p3_asr", "video_id:l seg_ix:l confidence:d", "SELECT video_id, seg_ix, CASE WHEN seg_ix % 3 > 0 THEN seg_ix % 10 / 10.0::DOUBLE ELSE 1 END AS confidence FROM segments")
 def _(c):
     return A.segments(_asr_docs(c))
 
@@ -127,16 +134,6 @@ def _(c):
     return A.blocks(A.frames(_ocr_docs(c))).withColumn("corners", F.size("outline"))
 
 
-@query("src_p3_chunks", "chunk_id:s video_id:l duration_sec:d asr_confidence:d alignment_score:d has_speech:b scene_count:l",
-       "SELECT chunk_id, video_id, (t_end_ms - t_start_ms) / 1000.0 AS duration_sec, 0.0 AS asr_confidence, 0.0 AS alignment_score, false AS has_speech, len(merged_scene_ids) AS scene_count FROM chunks")
-def _(c):
-    path = fresh_path(c.spark, "chunks")
-    made = chunking.build_chunks(c.scenes, c.segments, c.keyframes, c.chapters, CONFIG)
-    sinks.write_jsonl(chunking.to_public(made).withColumn("merged_scene_ids", F.lit(None).cast("array<int>")).drop("merged_scene_ids").join(made.select("chunk_id", "merged_scene_ids"), "chunk_id"), path)
-    back = c.spark.read.schema(S.CHUNK + ", merged_scene_ids array<int>").json(path)
-    return A.chunk_view(back).withColumn("scene_count", F.size("merged_scene_ids"))
-
-
 @query("src_bundle", "name:s n:l", "SELECT 'videos' AS name, count(*) AS n FROM videos UNION ALL SELECT 'chapters', count(*) FROM chapters UNION ALL SELECT 'scenes', count(*) FROM scenes UNION ALL SELECT 'keyframes', count(*) FROM keyframes UNION ALL SELECT 'segments', count(*) FROM segments UNION ALL SELECT 'blocks', count(*) FROM blocks")
 def _(c):
     every = None
@@ -170,10 +167,13 @@ def _(c):
     return extract.diarize(t.drop("speaker"), t)
 
 
-@query("udtf_scene_detect", "video_id:l scene_id:l start_ms:l end_ms:l duration_ms:l", "SELECT * FROM scenes")
+@query("udtf_scene_detect", "video_id:l scene_id:l start_ms:l end_ms:l duration_ms:l", """hits AS (SELECT DISTINCT video_id, t_ms FROM ev WHERE 20 + event_id * 7 % 20 >= 27),
+keptcuts AS (SELECT DISTINCT video_id, CAST(0 AS BIGINT) AS t FROM ev UNION ALL SELECT k.video_id, min(h.t_ms) FROM keptcuts k JOIN hits h ON h.video_id = k.video_id AND h.t_ms >= k.t + 30000 GROUP BY k.video_id)
+@@SELECT *, end_ms - start_ms AS duration_ms FROM (SELECT k.video_id, row_number() OVER w - 1 AS scene_id, k.t AS start_ms, coalesce(lead(k.t) OVER w, v.duration_ms) AS end_ms FROM keptcuts k JOIN videos v USING (video_id) WINDOW w AS (PARTITION BY k.video_id ORDER BY k.t))""")
 def _(c):
-    scores = c.events.where("event_type = 'signup' and t_ms > 0").select("video_id", "t_ms", F.lit(30.0).alias("score"))
-    return extract.detect_scenes(scores, c.videos.select("video_id", "duration_ms"), 27.0, 0)
+    """Time runs fast in these videos, so that a scene has to last 30 s."""
+    scores = c.events.select("video_id", "t_ms", (20 + F.col("event_id") * 7 % 20).cast("double").alias("score"))
+    return extract.detect_scenes(scores, c.videos.select("video_id", "duration_ms"), 27.0, 30_000)
 
 
 _SHARP = ExtractConfig(blur_threshold=50.0)
@@ -190,8 +190,7 @@ def _by(*keys):
 
 
 _FIRST_SQL = "firsts AS (SELECT video_id, scene_id, arg_min(timestamp_ms, o) AS timestamp_ms FROM (SELECT *, row_number() OVER (PARTITION BY video_id, scene_id ORDER BY frame_id) - 1 AS o FROM keyframes) WHERE o < 10 AND blur_score >= 50 GROUP BY 1, 2)"
-_LONG_SQL = "samples AS (SELECT video_id, scene_id, unnest(range(start_ms + 600000, end_ms, 600000)) AS timestamp_ms FROM scenes WHERE duration_ms > 30000)"
-_LONG = ExtractConfig(long_scene_step_ms=600_000)
+_LONG_SQL = "samples AS (SELECT video_id, scene_id, unnest(range(start_ms + 5000, end_ms, 5000)) AS timestamp_ms FROM scenes WHERE duration_ms > 30000)"
 
 
 @query("kf_first_sharp", "video_id:l scene_id:l timestamp_ms:l", _FIRST_SQL + "@@SELECT * FROM firsts")
@@ -201,13 +200,13 @@ def _(c):
 
 @query("kf_long_sample", "video_id:l scene_id:l timestamp_ms:l", _LONG_SQL + "@@SELECT * FROM samples")
 def _(c):
-    return keyframes.long_scene_times(c.scenes, _LONG)
+    return keyframes.long_scene_times(c.scenes)
 
 
 @query("kf_orchestrate", "video_id:l frame_id:l scene_id:l timestamp_ms:l filename:s", _FIRST_SQL + ", " + _LONG_SQL + """@@SELECT *, printf('frame_%05d.jpg', CAST(frame_id AS INTEGER)) AS filename FROM (SELECT video_id, scene_id, timestamp_ms, row_number() OVER (PARTITION BY video_id ORDER BY scene_id, kind, timestamp_ms) - 1 AS frame_id
   FROM (SELECT *, 0 AS kind FROM firsts UNION ALL SELECT *, 1 FROM samples))""")
 def _(c):
-    return keyframes.number_frames(keyframes.first_sharp(_probes(c), _SHARP), keyframes.long_scene_times(c.scenes, _LONG))
+    return keyframes.number_frames(keyframes.first_sharp(_probes(c), _SHARP), keyframes.long_scene_times(c.scenes))
 
 
 _DELTA = ExtractConfig(blur_threshold=0.0, pixel_delta=0, pixel_share=0.5)
@@ -229,11 +228,14 @@ def _(c):
     return e.join(after, "vec_id").select("vec_id", V.changed_share(F.col("embedding"), F.col("next"), 0.1).alias("share"))
 
 
-@query("fn_blur_score", "vec_id:l sharp:b")
+@query("fn_blur_score", "vec_id:l blur_score:d", """gray AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(0, least(255, CAST(trunc(x::DOUBLE * 127 + 128) AS INTEGER)))) AS g FROM embeddings)
+@@SELECT vec_id, list_var_pop(list_transform(range(64), lambda p: (g[CASE WHEN p < 8 THEN p + 8 ELSE p - 8 END + 1] + g[CASE WHEN p >= 56 THEN p - 8 ELSE p + 8 END + 1]
+  + g[CASE WHEN p % 8 = 0 THEN p + 1 ELSE p - 1 END + 1] + g[CASE WHEN p % 8 = 7 THEN p - 1 ELSE p + 1 END + 1] - 4 * g[p + 1])::DOUBLE)) AS blur_score FROM gray""")
 def _(c):
-    e = c.table("embeddings").select("vec_id", F.transform("embedding", lambda x: F.least(F.greatest((x * 127 + 128).cast("int"), F.lit(0)), F.lit(255))).alias("g"))
+    """A vector as an image of 8 x 8 pixels."""
+    e = c.table("embeddings").select("vec_id", F.transform("embedding", lambda x: F.least(F.greatest((x.cast("double") * 127 + 128).cast("int"), F.lit(0)), F.lit(255))).alias("g"))
     bytes_ = F.unhex(F.array_join(F.transform("g", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    return e.select("vec_id", (V.blur_score(bytes_, F.lit(8)) >= 100).alias("sharp"))
+    return extract.blur_scores(e.select("vec_id", bytes_.alias("gray"), F.lit(8).alias("width")))
 
 
 @query("ocr_conf_filter", "video_id:l frame_id:l block_ix:l confidence:d", "SELECT * FROM raw_blocks WHERE confidence >= 0.5::DOUBLE")
@@ -433,7 +435,8 @@ def _(c):
 
 
 def _ocr_text(c):
-    cleaned = ocr.clean_frames(c.blocks, ocr.chrome_tokens(c.blocks))
+    blocks = c.kept_blocks
+    cleaned = ocr.clean_frames(blocks, ocr.chrome_tokens(blocks))
     return ocr.chunk_text(chunking.join_keyframes(_groups(c), c.keyframes), cleaned)
 
 
@@ -442,8 +445,8 @@ def _(c):
     return _ocr_text(c)
 
 
-def _texts(c):
-    return _chunks(c).join(_ocr_text(c), ["video_id", "grp"], "left").withColumn("ocr_text", F.coalesce("ocr_text", F.lit(""))).withColumn("has_visual", F.col("has_keyframe")).withColumn("has_speech", F.col("n_segments") > 0)
+def _texts(c, chunks=None):
+    return (_chunks(c) if chunks is None else chunks).join(_ocr_text(c), ["video_id", "grp"], "left").withColumn("ocr_text", F.coalesce("ocr_text", F.lit(""))).withColumn("has_visual", F.col("has_keyframe")).withColumn("has_speech", F.col("n_segments") > 0)
 
 
 @query("clean_drive", "chunk_id:s ocr_text:s", "SELECT * FROM texts")
@@ -524,18 +527,32 @@ def _(c):
 
 
 def enriched(c: Corpus):
-    """The whole second phase up to vectors: texts, scores, completeness and provenance."""
-    keys = ["video_id", "grp"]
-    t = _texts(c).join(enrich.asr_confidence(_chunk_words(c)), keys, "left").join(enrich.ocr_confidence(_chunk_blocks(c)), keys, "left")
-    t = t.withColumn("merged_text", T.merged_text(F.col("asr_text"), F.col("ocr_text"))).withColumn("alignment_score", F.lit(0.0))
-    t = t.withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(0.0))).withColumn("ocr_confidence", F.coalesce("ocr_confidence", F.lit(0.0)))
+    """The whole second phase up to vectors: texts, scores, completeness and provenance. Speech is joined to chunks once
+    for both text and confidence, and so are the frames; words and blocks are summed where they are."""
+    chunks = chunking.build_chunks(c.scenes, enrich.with_scores(c.spoken), c.keyframes, c.chapters, CONFIG)
+    t = _texts(c, chunks).withColumn("ocr_confidence", F.coalesce("ocr_confidence", F.lit(0.0)))
+    t = t.withColumn("merged_text", T.merged_text(F.col("asr_text"), F.col("ocr_text")))
+    t = align.with_scores(t, max_df=0.95)
     return enrich.provenance(t.withColumn("completeness", enrich.completeness(F.col("n_segments"), F.size("keyframe_ids"), F.col("ocr_text"))), c.videos)
 
 
-@query("enrich_drive", "chunk_id:s asr_confidence:d ocr_confidence:d has_ocr_text:b video_title:s", f"""ac AS (SELECT g.video_id, g.grp, avg(w.score) AS a {_WORDS_SQL} GROUP BY 1, 2), oc AS (SELECT s.video_id, s.grp, avg(b.confidence) AS o FROM shown s JOIN blocks b USING (video_id, frame_id) GROUP BY 1, 2)
-@@SELECT t.chunk_id, coalesce(ac.a, 0) AS asr_confidence, coalesce(oc.o, 0) AS ocr_confidence, t.ocr_text <> '' AS has_ocr_text, v.title AS video_title FROM texts t LEFT JOIN ac ON ac.video_id = t.video_id AND ac.grp = t.grp LEFT JOIN oc ON oc.video_id = t.video_id AND oc.grp = t.grp JOIN videos v ON v.video_id = t.video_id""")
+_ENRICH_SQL = f"""ac AS (SELECT g.video_id, g.grp, avg(w.score) AS a {_WORDS_SQL} GROUP BY 1, 2), oc AS (SELECT s.video_id, s.grp, avg(b.confidence) AS o FROM shown s JOIN blocks b USING (video_id, frame_id) GROUP BY 1, 2)
+@@SELECT t.chunk_id, t.video_id, coalesce(ac.a, 0) AS asr_confidence, coalesce(oc.o, 0) AS ocr_confidence, t.ocr_text <> '' AS has_ocr_text, v.title AS video_title, 0.0 AS alignment_score, (t.t_end_ms - t.t_start_ms) / 1000.0 AS duration_sec, t.has_speech, len(t.merged_scene_ids) AS scene_count,
+  length({_MERGED}) AS merged_chars FROM texts t LEFT JOIN ac ON ac.video_id = t.video_id AND ac.grp = t.grp LEFT JOIN oc ON oc.video_id = t.video_id AND oc.grp = t.grp JOIN videos v ON v.video_id = t.video_id"""
+
+
+@query("enrich_drive", "chunk_id:s asr_confidence:d ocr_confidence:d alignment_score:d merged_chars:l has_ocr_text:b video_title:s", _ENRICH_SQL)
 def _(c):
-    return enriched(c).select("chunk_id", "asr_confidence", "ocr_confidence", "completeness.has_ocr_text", "provenance.video_title")
+    return enriched(c).select("chunk_id", "asr_confidence", "ocr_confidence", "alignment_score", F.length("merged_text").alias("merged_chars"), "completeness.has_ocr_text", "provenance.video_title")
+
+
+@query("src_p3_chunks", "chunk_id:s video_id:l duration_sec:d asr_confidence:d ocr_confidence:d alignment_score:d has_speech:b scene_count:l", _ENRICH_SQL)
+def _(c):
+    path = fresh_path(c.spark, "chunks")
+    made = enriched(c)
+    sinks.write_jsonl(chunking.to_public(made, "merged_scene_ids"), path)
+    back = c.spark.read.schema(S.CHUNK + ", merged_scene_ids array<int>").json(path)
+    return A.chunk_view(back).withColumn("scene_count", F.size("merged_scene_ids"))
 
 
 # --- vectors ---------------------------------------------------------------------------------------------------------
@@ -613,27 +630,36 @@ def _(c):
     return _back(c, sinks.write_parquet, c.spark.read.parquet).withColumn("frames", _ids("keyframe_ids")).withColumn("paths", F.array_join("keyframe_paths", ","))
 
 
-@query("sink_json", "video_id:l total:l", "SELECT video_id, count(*) AS total FROM chunks GROUP BY 1")
+def _items(df, name: str, item: str):
+    """Rows of the items of JSON documents, with the total that each document tells."""
+    doc = F.from_json("value", f"total_{name} long, {name} array<struct<{item}>>")
+    return df.select("video_id", doc.alias("d")).select("video_id", F.col(f"d.total_{name}").alias("total"), F.posexplode(f"d.{name}").alias("place", "x")).select("video_id", "total", "place", "x.*")
+
+
+@query("sink_json", "video_id:l total:l place:l chunk_id:s t_end_ms:l asr_text:s", "SELECT video_id, count(*) OVER (PARTITION BY video_id) AS total, row_number() OVER (PARTITION BY video_id ORDER BY grp) - 1 AS place, chunk_id, t_end_ms, asr_text FROM chunks")
 def _(c):
     back = _back(c, lambda d, p: sinks.write_json_per_video(d, p, "grp", "chunks"), c.spark.read.text)
-    return back.select("video_id", F.get_json_object("value", "$.total_chunks").cast("long").alias("total"))
+    return _items(back, "chunks", "chunk_id:string,t_end_ms:long,asr_text:string")
 
 
-@query("sink_timeline_json", "video_id:l total:l", _ALL_SQL + "@@SELECT video_id, count(*) AS total FROM events5 GROUP BY 1")
+@query("sink_timeline_json", "video_id:l total:l timestamp_ms:l event_type:s n:l", _ALL_SQL + "@@SELECT video_id, (SELECT count(*) FROM events5 x WHERE x.video_id = e.video_id) AS total, timestamp_ms, event_type, count(*) AS n FROM events5 e GROUP BY ALL")
 def _(c):
     path = fresh_path(c.spark, "timeline")
     sinks.write_json_per_video(_timeline(c), path, "position", "events")
-    return c.spark.read.text(path).select("video_id", F.get_json_object("value", "$.total_events").cast("long").alias("total"))
+    return _items(c.spark.read.text(path), "events", "timestamp_ms:long,event_type:string").groupBy("video_id", "total", "timestamp_ms", "event_type").agg(F.count("*").alias("n"))
 
 
 # --- questions and answers -------------------------------------------------------------------------------------------
 
 
-@query("qa_prompt", "chunk_id:s chapter:b said:b shown:b", "SELECT chunk_id, true AS chapter, asr_text = '' AS said, ocr_text = '' AS shown FROM texts")
+_TENTHS = "(({0} + 50) // 1000) || '.' || (({0} + 50) // 100 % 10)"
+
+
+@query("qa_prompt", "chunk_id:s prompt:s", f"""SELECT chunk_id, 'Write 3 questions with answers about one part of a tutorial.' || chr(10) || 'Chapter: ' || chapter_title || chr(10) || 'From ' || {_TENTHS.format('t_start_ms')} || ' s to ' || {_TENTHS.format('t_end_ms')} || ' s (' || {_TENTHS.format('(t_end_ms - t_start_ms)')} || ' s)'
+  || chr(10) || 'Said:' || chr(10) || coalesce(nullif(asr_text, ''), '[No speech]') || chr(10) || 'Shown:' || chr(10) || coalesce(nullif(ocr_text, ''), '[No on-screen text]') || chr(10)
+  || 'Reply with a JSON array of objects with the keys question, answer and evidence_type, which is spoken, visual or both. Ask at least once about what is visible.' AS prompt FROM texts""")
 def _(c):
-    p = qa.prompt(F.col("chapter_title"), F.col("t_start_ms"), F.col("t_end_ms"), F.col("asr_text"), F.col("ocr_text"))
-    t = _texts(c).withColumn("p", p)
-    return t.select("chunk_id", F.contains("p", F.col("chapter_title")).alias("chapter"), F.contains("p", F.lit("\n[No speech]\n")).alias("said"), F.contains("p", F.lit("\n[No on-screen text]\n")).alias("shown"))
+    return _texts(c).select("chunk_id", qa.prompt(F.col("chapter_title"), F.col("t_start_ms"), F.col("t_end_ms"), F.col("asr_text"), F.col("ocr_text")).alias("prompt"))
 
 
 def _replies(c):
@@ -688,5 +714,4 @@ FROM (SELECT a.vec_id AS query_id, count(*) AS n FROM embeddings a JOIN embeddin
 def _(c):
     e = c.table("embeddings")
     q = e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
-    relevant = q.select("query_id", "label").join(e.select("vec_id", "label"), "label").select("query_id", "vec_id")
-    return metrics.retrieval(store.search_batch(e, q, 10), relevant, 10)
+    return metrics.retrieval_by_class(store.search_batch(e, q, 10), q.select("query_id", "label"), e.select("vec_id", "label"), 10)

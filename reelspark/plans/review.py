@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..config import ReviewConfig
 from ..functions import text as T
-from ..operators import ocr, report, validate
-from .queries import _chunks, _ids, _texts
+from ..operators import chunking, ocr, report, validate
+from .queries import _chunks, _groups
 from .registry import query
 
 _WIN = """w AS (SELECT video_id, d, unnest(range(0, d, 5000)) AS start_ms FROM (SELECT video_id, duration_s * 1000 AS d FROM videos)),
@@ -105,7 +105,10 @@ def _(c):
 ranked AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY total_text_chars DESC, grp) AS rank, row_number() OVER (PARTITION BY video_id ORDER BY total_text_chars, grp DESC) AS up FROM dens)
 @@SELECT *, 'richest' AS list FROM ranked WHERE rank <= 3 UNION ALL SELECT *, 'thinnest' FROM ranked WHERE up <= 3""")
 def _(c):
-    return validate.content_density(_texts(c))
+    groups, blocks = _groups(c), c.kept_blocks
+    chars = ocr.screen_chars(chunking.join_keyframes(groups, c.keyframes), blocks, ocr.chrome_tokens(blocks))
+    named = chunking.with_ids(groups, c.chapters)
+    return validate.content_density(named.join(chunking.speech_chars(groups, c.segments), ["video_id", "grp"], "left").join(chars, ["video_id", "grp"], "left"))
 
 
 @query("report_assemble", "video_id:l duration_s:l coverage_pct:d verdict:s scenes:l keyframes:l segments:l chunks:l gaps:l", _WIN + ", " + _KG + """@@SELECT v.video_id, v.duration_s, p.coverage_pct, CASE WHEN p.coverage_pct >= 90 THEN 'PASS' WHEN p.coverage_pct >= 70 THEN 'PARTIAL' ELSE 'FAIL' END AS verdict,
@@ -116,11 +119,12 @@ def _(c):
     return report.assemble(c.videos, pct, scenes=c.scenes, keyframes=c.keyframes, segments=c.segments, chunks=_chunks(c), gaps=validate.keyframe_gaps(c.keyframes))
 
 
-@query("rpt_summary", "video_id:l title:s scenes:l keyframes:l segments:l blocks:l", """SELECT v.video_id, v.title, (SELECT count(*) FROM scenes x WHERE x.video_id = v.video_id) AS scenes, (SELECT count(*) FROM keyframes x WHERE x.video_id = v.video_id) AS keyframes,
-  (SELECT count(*) FROM segments x WHERE x.video_id = v.video_id) AS segments, (SELECT count(*) FROM blocks x WHERE x.video_id = v.video_id) AS blocks FROM videos v""")
+@query("rpt_summary", "video_id:l title:s duration_s:l coverage_pct:d verdict:s segments:l scenes:l keyframes:l blocks:l chunks:l", _WIN + """@@SELECT v.video_id, v.title, v.duration_s, p.coverage_pct, CASE WHEN p.coverage_pct >= 90 THEN 'PASS' WHEN p.coverage_pct >= 70 THEN 'PARTIAL' ELSE 'FAIL' END AS verdict,
+  (SELECT count(*) FROM segments x WHERE x.video_id = v.video_id) AS segments, (SELECT count(*) FROM scenes x WHERE x.video_id = v.video_id) AS scenes, (SELECT count(*) FROM keyframes x WHERE x.video_id = v.video_id) AS keyframes,
+  (SELECT count(*) FROM blocks x WHERE x.video_id = v.video_id) AS blocks, (SELECT count(*) FROM groups x WHERE x.video_id = v.video_id) AS chunks FROM videos v JOIN pct p USING (video_id)""")
 def _(c):
-    pct = c.videos.select("video_id", F.lit(100.0).alias("coverage_pct"))
-    return report.assemble(c.videos, pct, scenes=c.scenes, keyframes=c.keyframes, segments=c.segments, blocks=c.blocks).join(c.videos.select("video_id", "title"), "video_id")
+    pct = validate.overall_coverage(c.videos.select("video_id"), _windows(c))
+    return report.assemble(c.videos, pct, segments=c.segments, scenes=c.scenes, keyframes=c.keyframes, blocks=c.blocks, chunks=_groups(c)).join(c.videos.select("video_id", "title"), "video_id")
 
 
 @query("rpt_timeline_pct", "video_id:l kind:s at_ms:l left_pct:d width_pct:d", _KG + """@@SELECT p.video_id, kind, at_ms, at_ms / (v.duration_s * 1000)::DOUBLE * 100 AS left_pct, width_ms / (v.duration_s * 1000)::DOUBLE * 100 AS width_pct FROM (SELECT video_id, 'chapter' AS kind, start_ms AS at_ms, end_ms - start_ms AS width_ms FROM chapters
@@ -135,9 +139,14 @@ def _(c):
     return report.chunk_images(_chunks(c), images)
 
 
-@query("rpt_gaps", _FLAG + " position:l", _UNION + "@@SELECT * FROM flags WHERE position <= 20")
+_SEC = "(({0} + 50) // 1000) || '.' || (({0} + 50) // 100 % 10) || 's'"
+
+
+@query("rpt_gaps", "video_id:l list:s position:l total:l issue:s severity:s description:s", _UNION + ", " + _KG + f"""@@SELECT video_id, 'gap' AS list, row_number() OVER (PARTITION BY video_id ORDER BY start_ms) AS position, count(*) OVER (PARTITION BY video_id) AS total, gap_type AS issue, severity,
+  {_SEC.format('start_ms')} || ' - ' || {_SEC.format('end_ms')} || ' (' || {_SEC.format('(end_ms - start_ms)')} || ')' AS description FROM kg
+  UNION ALL SELECT * FROM (SELECT video_id, 'flag', position, count(*) OVER (PARTITION BY video_id) AS total, flag_type, severity, description || ' - ' || split_part(location, '/', -1) FROM flags) WHERE position <= 20""")
 def _(c):
-    return report.shown_flags(_flags(c))
+    return report.issues(validate.keyframe_gaps(c.keyframes), _flags(c))
 
 
 @query("fn_conf_color", "doc_id:l color:s", "SELECT doc_id, CASE WHEN c >= 0.8::DOUBLE THEN 'green' WHEN c >= 0.5::DOUBLE THEN 'yellow' ELSE 'red' END AS color FROM (SELECT doc_id, (doc_id % 11) / 10.0::DOUBLE AS c FROM documents)")

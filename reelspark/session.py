@@ -29,11 +29,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, one
-    machine) a temporary folder stands in for it."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Only where that is unset and the master is
+    local (tests, one machine) a temporary folder stands in for it; on a cluster it has to be set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         sc = spark.sparkContext
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not getattr(sc, "_reelspark_dir", None):
             sc._reelspark_dir = "file://" + tempfile.mkdtemp(prefix="reelspark-shared-")
         found = sc._reelspark_dir

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import ChunkConfig
 from ..operators import intervals, keyframes
+from ..session import materialize
 
 #: Scenes here are long; shorter ones than a minute are merged.
 CONFIG = ChunkConfig(min_ms=60_000)
@@ -82,6 +83,13 @@ class Corpus:
         who = F.concat(F.lit("SPEAKER_0"), (F.col("event_id") % 2).cast("string")).alias("speaker")
         return self._with_text(c).select("video_id", "seg_ix", "start_ms", "end_ms", "text", who, "event_id", F.size(F.filter(F.split("text", " "), lambda t: t != "")).alias("word_count"))
 
+    @cached_property
+    def spoken(self) -> DataFrame:
+        """Segments with their words nested: score and probability as in ``words``."""
+        s = lambda i: ((F.col("event_id") * 31 + i * 7) % 100) / F.lit(100.0)
+        word = lambda w, i: F.struct(w.alias("word"), F.when(i % 5 < 4, s(i)).alias("score"), F.when(i % 5 == 4, s(i)).alias("probability"))
+        return self.segments.withColumn("words", F.transform(F.filter(F.split("text", " "), lambda t: t != ""), word))
+
     @cached_property
     def words(self) -> DataFrame:
         """Timed words: every fifth one has a probability instead of a score."""
@@ -107,6 +115,11 @@ class Corpus:
     def blocks(self) -> DataFrame:
         return self.raw_blocks.where(F.col("confidence") >= F.lit(0.5))
 
+    @cached_property
+    def kept_blocks(self) -> DataFrame:
+        """The blocks as a written table, for plans that read them twice."""
+        return materialize(self.blocks, "blocks")
+
     @cached_property
     def frames(self) -> DataFrame:
         """Keyframes with their blocks nested."""

@@ -72,3 +72,69 @@ def test_phases(spark, tables, tmp_path):
 
     phases.phase_three(spark, tables, chunks, f"file://{out}/four", generator=broken)
     assert spark.read.json(f"file://{out}/four/report").count() == 1
+
+
+def _each(columns, rows):
+    """A model that gives the same rows for every row of its input."""
+    import pandas as pd
+
+    def run(frames):
+        for f in frames:
+            yield pd.DataFrame([(v, *r) for v in f["video_id"] for r in rows], columns=["video_id", *columns])
+
+    return run
+
+
+def _toy_models():
+    def normalizer(frames):
+        for f in frames:
+            yield f.assign(output=f["path"].str.replace(".mp4", ".wav"), ok=~f["path"].str.contains("broken"))
+
+    def prober(frames):
+        for f in frames:
+            # the first two tries are blurred; samples change every ten seconds
+            pixels = [[float(t // 10_000 % 2 * 100)] * 4 for t in f["timestamp_ms"]]
+            yield f.drop(columns="path").assign(blur_score=[200.0 if k or o > 1 else 10.0 for k, o in zip(f["kind"], f["offset"])], pixels=pixels)
+
+    def reader(frames):
+        for f in frames:
+            blocks = [[{"text": f"label {i}", "polygon": [[0.0, 0.0], [5.0, 5.0]], "confidence": 0.9}, {"text": "faint", "polygon": [[0.0, 0.0]], "confidence": 0.1}] for i in f["frame_id"]]
+            yield f[["video_id", "frame_id"]].assign(blocks=blocks)
+
+    word = lambda w, s: {"word": w, "start_s": s, "end_s": s + 0.5, "probability": 0.5}
+    said = [(0, 0.5, 2.0, "one two", [word("one", 0.5), word("two", 1.0)]), (1, 3.0, 4.0, "three", [word("three", 3.0)])]
+    return phases.Models(
+        normalizer=normalizer, durations=_each(["duration_ms"], [(60_000,)]), transcriber=_each(["seg_ix", "start_s", "end_s", "text", "words"], said),
+        diarizer=_each(["start_ms", "speaker"], [(500, "A")]), scorer=_each(["t_ms", "score"], [(100, 99.0), (20_000, 30.0), (20_200, 40.0), (30_000, 5.0)]), prober=prober, reader=reader,
+    )
+
+
+def test_phase_one(spark, tmp_path):
+    media = spark.createDataFrame([(1, "a.mp4"), (2, "b.mp4"), (3, "broken.mp4")], "video_id long, path string")
+    out = f"file://{tmp_path}/one"
+    times = phases.phase_one(spark, media, out, _toy_models(), diarize=True)
+    assert list(times.seconds) == ["media", "videos", "asr", "transcript", "scenes", "keyframes", "ocr"]
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    assert {(r["video_id"], r["path"]) for r in read("media").collect()} == {(1, "a.wav"), (2, "b.wav")}
+    assert [(r["start_ms"], r["end_ms"]) for r in read("scenes").where("video_id = 1").orderBy("scene_id").collect()] == [(0, 20_000), (20_000, 60_000)]
+    assert [(r["speaker"], [w["score"] for w in r["words"]]) for r in read("asr").where("video_id = 2").orderBy("seg_ix").collect()] == [("A", [0.5, 0.5]), (None, [0.5])]
+    assert read("transcript").where("video_id = 1").first()["transcript"] == "[00:00:00.500 -> 00:00:02.000] [A] one two\n[00:00:03.000 -> 00:00:04.000] three"
+    frames = read("keyframes").where("video_id = 1").orderBy("frame_id").collect()
+    assert [(r["scene_id"], r["timestamp_ms"]) for r in frames] == [(0, 66), (1, 20_066), (1, 25_000), (1, 30_000), (1, 40_000), (1, 50_000)]
+    assert [(r["full_text"], r["total_blocks"]) for r in read("ocr").where("video_id = 1").orderBy("frame_id").collect()] == [(f"label {i}", 1) for i in range(6)]
+    phases.phase_one(spark, media, out, phases.Models())  # everything is there
+    assert read("ocr").count() == 12
+    phases.phase_one(spark, media, out, phases.Models(), skip_existing=False)
+    assert read("ocr").count() == 0 and read("media").count() == 3
+
+
+def test_extract_command(spark, tmp_path, monkeypatch):
+    from reelspark import __main__ as cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.mp4").write_bytes(b"x")
+    assert cli.main(["extract", f"{tmp_path}/in", f"file://{tmp_path}/out", "--models", "tests.test_golden:TOY", "--diarize"]) == 0
+    assert spark.read.parquet(f"file://{tmp_path}/out/keyframes").count() == 6
+
+
+TOY = _toy_models()
