@@ -15,8 +15,10 @@ def asr_confidence(words: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")
 def with_scores(segments: DataFrame, use_probability: bool = False) -> DataFrame:
     """Segments with score_sum and score_n of their words, summed within the row, so that no word is ever a row."""
     value = lambda w: F.coalesce(w["score"], w["probability"]) if use_probability else w["score"]
-    scores = F.filter(F.transform("words", value), lambda x: x.isNotNull())
-    return segments.withColumn("score_sum", F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)).withColumn("score_n", F.size(scores))
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    add = lambda a, w: F.when(value(w).isNull(), a).otherwise(F.struct((a["total"] + value(w)).alias("total"), (a["n"] + 1).alias("n")))
+    summed = segments.withColumn("_scores", F.aggregate("words", start, add))
+    return summed.withColumn("score_sum", F.col("_scores.total")).withColumn("score_n", F.col("_scores.n")).drop("_scores")
 
 
 def ocr_confidence(blocks: DataFrame, keys: tuple[str, ...] = ("video_id", "grp")) -> DataFrame:

@@ -529,7 +529,7 @@ def _(c):
 def enriched(c: Corpus):
     """The whole second phase up to vectors: texts, scores, completeness and provenance. Speech is joined to chunks once
     for both text and confidence, and so are the frames; words and blocks are summed where they are."""
-    chunks = chunking.build_chunks(c.scenes, enrich.with_scores(c.spoken), c.keyframes, c.chapters, CONFIG)
+    chunks = chunking.build_chunks(c.scenes, c.scored, c.keyframes, c.chapters, CONFIG)
     t = _texts(c, chunks).withColumn("ocr_confidence", F.coalesce("ocr_confidence", F.lit(0.0)))
     t = t.withColumn("merged_text", T.merged_text(F.col("asr_text"), F.col("ocr_text")))
     t = align.with_scores(t, max_df=0.95)

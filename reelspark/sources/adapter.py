@@ -84,11 +84,12 @@ class Corpus:
         return self._with_text(c).select("video_id", "seg_ix", "start_ms", "end_ms", "text", who, "event_id", F.size(F.filter(F.split("text", " "), lambda t: t != "")).alias("word_count"))
 
     @cached_property
-    def spoken(self) -> DataFrame:
-        """Segments with their words nested: score and probability as in ``words``."""
-        s = lambda i: ((F.col("event_id") * 31 + i * 7) % 100) / F.lit(100.0)
-        word = lambda w, i: F.struct(w.alias("word"), F.when(i % 5 < 4, s(i)).alias("score"), F.when(i % 5 == 4, s(i)).alias("probability"))
-        return self.segments.withColumn("words", F.transform(F.filter(F.split("text", " "), lambda t: t != ""), word))
+    def scored(self) -> DataFrame:
+        """Segments with score_sum and score_n of their ``words``, by the rule that makes these."""
+        n = F.col("word_count")
+        sure = F.expr("transform(sequence(0, word_count - 1), i -> if(i % 5 < 4, (event_id * 31 + i * 7) % 100, 0L))")
+        total = F.when(n > 0, F.aggregate(sure, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(F.lit(0))
+        return self.segments.withColumn("score_sum", total / F.lit(100.0)).withColumn("score_n", n - F.expr("word_count div 5"))
 
     @cached_property
     def words(self) -> DataFrame:
@@ -117,8 +118,9 @@ class Corpus:
 
     @cached_property
     def kept_blocks(self) -> DataFrame:
-        """The blocks as a written table, for plans that read them twice."""
-        return materialize(self.blocks, "blocks")
+        """The blocks as a written table, for plans that read them twice. What follows takes far more time than their bytes
+        tell, so they are spread over all of the session's shuffle partitions."""
+        return materialize(self.blocks.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "video_id", "frame_id"), "blocks")
 
     @cached_property
     def frames(self) -> DataFrame:
