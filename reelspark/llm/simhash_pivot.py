@@ -6,7 +6,14 @@ more than the radius in every coordinate; a pair that differs by more in one is
 on the fingerprints. Pairs come from an equi-join on 4 of 6 blocks of the bits (two differing bits touch two blocks at
 most), so that no link is missed and no pair of strangers is formed. Blocks that very many classes share are not
 paired at all: their classes meet on the points at distance one instead, of which no more than 65 classes ever share
-one."""
+one.
+
+A radius of two is narrow: a copy with one word in twenty changed lies eight bits away. Where only one document of each
+group is to stay, classes can be linked by their segments as well (``alike``): a text is cut behind words whose hash says
+so, so that a changed word changes one segment or two, and classes are linked that have a share of their segments in
+common. Segments are ordered by rarity; of two such classes both have a common segment in their prefix (prefix filtering),
+where each class is compared with a few leaders of the segment only, so that a passage of very many documents makes as
+many comparisons, never all pairs."""
 
 from __future__ import annotations
 
@@ -29,6 +36,12 @@ SEED = 42
 BLOCKS = ((0, 11), (11, 22), (22, 33), (33, 44), (44, 54), (54, 64))
 #: More classes than this in a block key, and they are linked over the points at distance one.
 CROWD = 64
+#: A segment ends behind a word of this share (1 / SEGMENT_WORDS); classes of fewer segments have no links of this kind;
+#: leaders of a segment, by the order of fingerprints under these masks.
+SEGMENT_WORDS, LEAST_SEGMENTS = 4, 6
+LEADERS = (0, 0x5555555555555555, -0x5555555555555556)
+#: Share of segments in common from which the pipeline takes documents for copies.
+SIMILAR = 0.45
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Sixteen pivots, spread over the space: rows of a Hadamard code, so that any two differ in 32 bits.
 PIVOTS = tuple(sum((bin(i & r).count("1") & 1) << i for i in range(64)) for r in (0, 1, 2, 4, 8, 16, 32, 63, 3, 12, 48, 21, 42, 7, 56, 27))
@@ -63,6 +76,43 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text")).mapInArrow(run, "doc_id long, fp long")
 
 
+class Segmenter:
+    """Hashes of the segments of texts; which words end one is kept for the last words met."""
+
+    def __init__(self):
+        self.ends: dict[bytes, bool] = {}
+
+    def __call__(self, text: bytes | None) -> list[int]:
+        """The different segments of a text, sorted."""
+        words, ends, h = (text or b"").translate(_LOWER).split(), self.ends, xxhash.xxh64_intdigest
+        if len(ends) > 500_000:
+            ends.clear()
+        for w in set(words).difference(ends):
+            ends[w] = h(w, 7) % SEGMENT_WORDS == 0
+        out, at = set(), 0
+        for i, w in enumerate(words, 1):
+            if ends[w]:
+                out.add(h(b" ".join(words[at:i]), SEED))
+                at = i
+        if at < len(words):
+            out.add(h(b" ".join(words[at:]), SEED))
+        return sorted(out)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, fp and segments (hashes) of every row, in one pass over the texts."""
+
+    def run(batches):
+        segments = Segmenter()
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            fp = np.array([fingerprint(x) for x in texts], dtype=np.uint64).view(np.int64)
+            own = [np.array(segments(x), dtype=np.uint64).view(np.int64) for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "fp", "segments"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text")).mapInArrow(run, "doc_id long, fp long, segments array<long>")
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -111,14 +161,41 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     return pairs.distinct()
 
 
-def _classes(docs: DataFrame, radius: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """doc_id and fp of every row; and for every fp its n_near, its component_id, and root, one fp of its component."""
-    fps = materialize(fingerprints(docs), "fingerprints")
+def alike(classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (a, b), a < b, of fingerprints whose classes have ``similar`` of their segments in common. classes: fp, segments.
+
+    Only classes of which so many segments are shared with any other can be in such a pair. Each meets the leaders of the
+    segments in its prefix; what is linked is verified, and copies of one text that are linked to one leader are linked."""
+    full = classes.where(F.size("segments") >= LEAST_SEGMENTS)
+    postings = full.select("fp", F.size("segments").alias("n"), F.explode("segments").alias("s"))
+    often = postings.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    shared = postings.join(often, "s").groupBy("fp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("own"))
+    # in the order of rarity the unshared segments come first
+    prefix = (F.floor((1 - similar) * F.col("n") + 1e-9) + 1 - (F.col("n") - F.size("own"))).cast("int")
+    rare = shared.withColumn("k", prefix).where("k > 0").select("fp", F.explode(F.slice("own", 1, F.col("k"))).alias("x")).select("fp", "x.s")
+    rare = materialize(rare, "rare-segments")
+    # the least fingerprint under a mask leads; masks are undone by themselves
+    heads = rare.groupBy("s").agg(F.count("*").alias("members"), *[F.min(F.col("fp").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"h{i}") for i, m in enumerate(LEADERS)]).where("members > 1")
+    met = rare.join(heads, "s").select("fp", F.explode(F.array(*[f"h{i}" for i in range(len(LEADERS))])).alias("head")).where("fp <> head")
+    pairs = materialize(met.select(F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b")).distinct(), "segment-pairs")
+    both = pairs.join(full.select(F.col("fp").alias("a"), F.col("segments").alias("sa")), "a").join(full.select(F.col("fp").alias("b"), F.col("segments").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+
+def _classes(docs: DataFrame, radius: int, crowd: int, similar: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of every row; and for every fp its n_near, its component_id, and root, one fp of its component.
+    similar: components are also of classes linked by their segments (n_near isn't)."""
+    read = materialize(fingerprints(docs) if similar is None else sketches(docs), "fingerprints")
+    fps = read.select("doc_id", "fp")
     classes = materialize(fps.groupBy("fp").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")), "classes")
     pairs = materialize(links(classes.select("fp"), radius, crowd), "links")
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(classes.select(F.col("fp").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("more"))
-    roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    linked = pairs
+    if similar is not None:  # equal fingerprints can be of different texts: the least segments stand for them
+        linked = pairs.union(alike(materialize(read.groupBy("fp").agg(F.min("segments").alias("segments")), "class-segments"), similar))
+    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = roots.join(classes.select(F.col("fp").alias("node"), "first"), "node")
     heads = named.groupBy("root").agg(F.min("first").alias("head"))
     of = named.join(heads, "root").select(F.col("node").alias("fp"), "head", "root")
@@ -139,11 +216,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     return fps.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_near", "component_id")
 
 
-def keep_representatives(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """One row of each component, of its smallest doc_id, with all columns of ``docs``.
+def keep_representatives(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD, similar: float | None = None) -> DataFrame:
+    """One row of each component, of its smallest doc_id, with all columns of ``docs``. similar: also link documents that
+    have this share of their segments in common (``alike``).
 
     Of a component whose rows all lack an id, or that has rows repeated with its smallest id, one of those stays."""
-    fps, full = _classes(docs, radius, crowd)
+    fps, full = _classes(docs, radius, crowd, similar)
     found = fps.join(full, "fp")
     n = fps.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
     if n["rows"] == n["ids"]:

@@ -175,6 +175,47 @@ def test_near_duplicates_on_the_tables(spark, smallest):
     assert {r["doc_id"]: (r["fingerprint"], r["n_near"], r["component_id"]) for r in rows} == {i: (f"{fps[i]:016x}", len(near[i]), reach(i)) for i in fps}
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_segments():
+    cut = simhash_pivot.Segmenter()
+    words = [f"w{i}" for i in range(200)]
+    own = set(cut(" ".join(words).encode()))
+    changed = set(cut(" ".join([*words[:90], "other", *words[91:]]).upper().replace("W", "w").encode()))
+    assert 35 < len(own) < 70 and 1 <= len(own - changed) <= 2 and len(changed - own) <= 3
+    assert cut(None) == cut(b" \n") == [] and len(cut(b"one")) == 1 and cut(b"w1 w2 w3 w4 w5 w6 w7 w8 " * 9)[0] in cut(b"w1 w2 w3 w4 w5 w6 w7 w8 " * 900) and cut(b"A x") == cut(b"a x")
+
+
+def test_changed_copies_are_linked_and_others_are_not(spark):
+    rng = np.random.default_rng(21)
+    word = lambda: f"w{rng.integers(0, 4000)}"
+    passage = " ".join(word() for _ in range(60))
+    rows, group = [], {}
+    for g in range(25):
+        base = [word() for _ in range(int(rng.integers(80, 300)))]
+        for k in range(int(rng.integers(2, 7))):
+            copy = [word() if k and rng.random() < 0.04 else w for w in base]
+            group[len(rows)] = g
+            rows.append((len(rows), " ".join(copy)))
+    for g in range(60):  # others, which share a passage
+        group[len(rows)] = 100 + g
+        rows.append((len(rows), " ".join(word() for _ in range(90)) + " " + passage))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = simhash_pivot.Segmenter()
+    segments = {simhash_pivot._signed(simhash_pivot.fingerprint(t.encode())): set(cut(t.encode())) for _, t in rows}
+    read = simhash_pivot.sketches(docs)
+    pairs = {(r["a"], r["b"]) for r in simhash_pivot.alike(read.select("fp", "segments").distinct()).collect()}
+    assert pairs and all(a < b and jaccard(segments[a], segments[b]) >= simhash_pivot.SIMILAR for a, b in pairs)
+    kept = {r["doc_id"] for r in simhash_pivot.keep_representatives(docs, similar=simhash_pivot.SIMILAR).collect()}
+    assert {i for i, g in group.items() if g >= 100} <= kept  # a shared passage is no copy
+    gone = [i for i, g in group.items() if g < 100 and min(j for j, h in group.items() if h == g) != i]
+    assert sum(i not in kept for i in gone) >= 0.95 * len(gone) and {group[i] for i in kept} == set(group.values())
+    narrow = {r["doc_id"] for r in simhash_pivot.keep_representatives(docs).collect()}
+    assert sum(i not in narrow for i in gone) < 0.5 * len(gone)
+
+
 # --- token counts
 
 

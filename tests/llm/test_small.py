@@ -81,6 +81,8 @@ def test_near_duplicates(docs):
     assert all(r["fingerprint"] == "0" * 16 and r["component_id"] == 2 for r in zero)
     kept = simhash_pivot.keep_representatives(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 4, 5, 6]
+    assert sorted(r["doc_id"] for r in simhash_pivot.keep_representatives(docs, similar=0.45).collect()) == [1, 2, 4, 5, 6]
+    assert simhash_pivot.keep_representatives(empty(docs), similar=0.45).count() == 0
     assert simhash_pivot.near_duplicates(empty(docs)).count() == 0 and simhash_pivot.keep_representatives(empty(docs)).count() == 0
 
 
