@@ -14,7 +14,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelspark.llm import components, decontam, docstats, entries, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
+from reelspark.llm import components, decontam, docstats, entries, labelled, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
+from reelspark.llm._common import remainder
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -80,6 +81,14 @@ def test_rules_on_the_tables(spark, smallest):
         assert r["base_failed"] == failed and r["kept"] == (not failed and score >= 0.5)
 
 
+def test_rules_on_rows_they_have_not_learned_from(spark, smallest):
+    docs, labels = (spark.read.parquet(f"{smallest.replace('sf0.001', 'sf0.01')}/{n}.parquet") for n in ("documents", "labels"))
+    x, y = labelled.training_rows(docs, labels, lambda i: remainder(i, 4) != 2)
+    unseen, truth = labelled.training_rows(docs, labels, lambda i: remainder(i, 4) == 2)
+    forest = quality_gbt.fit_forest(docstats.ratios(x), y)
+    assert len(truth) > 50 and ((forest.score(docstats.ratios(unseen)) >= 0.5) == (truth > 0)).mean() > 0.95
+
+
 # --- quality classifier
 
 
