@@ -61,11 +61,12 @@ def blur_score(pixels: pd.Series, width: pd.Series) -> pd.Series:
 
 
 def hash_embedding(dim: int):
-    """A deterministic stand-in for a text model: hashed tokens, unit length. Null is embedded as ''."""
+    """A deterministic stand-in for a text model: hashed tokens, unit length. Null is embedded as ''. A token's first 32
+    bits of MD5 choose its place, and the highest of them its sign."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def embed(texts: pd.Series) -> pd.Series:
-        import zlib
+        import hashlib
 
         import numpy as np
 
@@ -73,7 +74,7 @@ def hash_embedding(dim: int):
         for t in texts:
             v = np.zeros(dim)
             for w in (t or "").lower().split():
-                h = zlib.crc32(w.encode())
+                h = int(hashlib.md5(w.encode("utf-8", "replace")).hexdigest()[:8], 16)
                 v[h % dim] += 1 if h >> 31 else -1
             n = np.linalg.norm(v)
             out.append((v / n if n else v).astype("float32").tolist())

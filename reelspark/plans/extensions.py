@@ -43,9 +43,12 @@ def _(c):
     return drawn.select("video_id", "frame_id", F.octet_length("image").alias("size"))
 
 
-@query("rpt_css", "rules:l")
+@query("rpt_css", "selector:s declarations:l", "SELECT unnest(['body', '.strip', '.strip i', '.chapter', '.gap', '.scene,.keyframe', 'td,th']) AS selector, unnest([3, 3, 3, 1, 1, 2, 2]) AS declarations")
 def _(c):
-    return c.spark.createDataFrame([(report.CSS.count("{"),)], "rules long")
+    """The rules of the report's style sheet, as every page carries it."""
+    page = F.regexp_extract(F.lit(report.page({}, [], [], [], [])), "<style>(.*?)</style>", 1)
+    rule = c.spark.range(1).select(F.explode(F.regexp_extract_all(page, F.lit("([^{}]+\\{[^}]*)\\}"), F.lit(1))).alias("r"))
+    return rule.select(F.substring_index("r", "{", 1).alias("selector"), (F.size(F.split(F.substring_index("r", "{", -1), ";"))).alias("declarations"))
 
 
 @query("ext_speaker_turns", "video_id:l turn:l speaker:s start_ms:l end_ms:l n:l", """runs AS (SELECT *, sum(CASE WHEN p IS NOT NULL AND p = speaker THEN 0 ELSE 1 END) OVER (PARTITION BY video_id ORDER BY seg_ix) AS turn FROM (SELECT *, lag(speaker) OVER (PARTITION BY video_id ORDER BY seg_ix) AS p FROM segments))

@@ -261,9 +261,12 @@ def _(c):
     return extract.ocr_frames(c.keyframes, c.frames.where(F.size("text_blocks") > 0).select("video_id", "frame_id", "text_blocks"))
 
 
-@query("udf_text_embed", "doc_id:l dim:l")
+@query("udf_text_embed", "doc_id:l dim:l i:l x:d", r"""hashed AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '')) AS w FROM documents)),
+places AS (SELECT doc_id, h % 384 AS i, sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END)::DOUBLE AS v FROM hashed GROUP BY 1, 2), lengths AS (SELECT doc_id, sqrt(sum(v * v)) AS n FROM places GROUP BY 1)
+@@SELECT doc_id, 384 AS dim, i, CAST(v / n AS FLOAT) AS x FROM places JOIN lengths USING (doc_id) WHERE v <> 0""")
 def _(c):
-    return extract.embed_text(c.documents.select("doc_id", F.col("text").alias("merged_text"))).select("doc_id", F.size("text_embedding").alias("dim"))
+    e = extract.embed_text(c.documents.select("doc_id", F.col("text").alias("merged_text")))
+    return e.select("doc_id", F.size("text_embedding").alias("dim"), F.posexplode("text_embedding").alias("i", "x")).where("x <> 0")
 
 
 _UNIT_SQL = "units AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings))"

@@ -303,3 +303,15 @@ def test_extensions(spark):
     assert [r["frame_id"] for r in X.changed_text_frames(f).orderBy("frame_id").collect()] == [0, 2, 3]
     t, d = (spark.createDataFrame([(1, x) for x in xs], "video_id long, t_ms long") for xs in ((0, 10, 50), (4, 48)))
     assert X.boundary_error(t, d).first()["mae_ms"] == pytest.approx((4 + 6 + 2) / 3)
+
+
+def test_written_tables_can_be_deleted(spark):
+    import os
+
+    from reelspark.session import discard, materialize
+
+    table = materialize(spark.range(5).toDF("x"), "gone")
+    place = table._reelspark_path.removeprefix("file://")
+    assert table.count() == 5 and os.path.exists(place)
+    discard(table)
+    assert not os.path.exists(place)
