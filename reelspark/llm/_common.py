@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path, materialize, ship  # noqa: F401  (for the operators)
+from ..session import discard, fresh_path, materialize, ship  # noqa: F401  (for the operators)
 
 HASH_SPACE = 1 << 31
 

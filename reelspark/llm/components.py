@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """edges: (u, v) of comparable ids, loops allowed. Gives (node, root) for each node that has an edge to another one,
     with root the smallest node it reaches. Rounds grow with the logarithm of the longest path; each is written to the
-    shared folder, and no group is ever held in one task: both stars are aggregations and equi-joins."""
+    shared folder, where the one before it is deleted, and no group is ever held in one task: both stars are aggregations and equi-joins."""
     current = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(most_rounds):
@@ -33,6 +33,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         following = materialize(_small_star(_large_star(current)), "stars")
         now = following.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        discard(current)
         current = following
         if before == (now["n"], now["h"]):
             break

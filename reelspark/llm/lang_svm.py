@@ -135,7 +135,9 @@ def margins(texts: list[str | None], model: LangModel) -> np.ndarray:
 
 
 def decide(texts: list[str | None], model: LangModel) -> tuple[list[str], list[float]]:
-    """A learned language and how sure it is, by the narrowest margin on its way; ``und`` and 0 without a letter."""
+    """A learned language and how sure it is, by the narrowest margin on its way; ``und`` and 0 without a letter. Of families
+    with equal margins the first wins; of languages with as many votes that of the larger sum of margins, then the last by
+    name."""
     m = margins(texts, model)
     where = {pair: j for j, pair in enumerate(model.pairs, len(model.families))}
     names, scores = [], []
