@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import extensions as X
 from ..operators import extract, report
 from ..sources import captions
@@ -11,11 +12,14 @@ from .queries import _chunks
 from .registry import query
 
 
-@query("src_normalize_media", "path:s output:s ok:b", "SELECT 'in/' || doc_id || '.mp4' AS path, 'in/' || doc_id || '.wav' AS output, true AS ok FROM documents")
+@query("src_normalize_media", "path:s output:s ok:b", "SELECT 'in/' || doc_id || '.mp4' AS path, CASE WHEN doc_id % 7 <> 3 THEN 'in/' || doc_id || '.wav' END AS output, doc_id % 7 <> 3 AS ok FROM documents")
 def _(c):
+    """A stand-in for a transcoder that can't read every seventh file."""
+
     def command(frames):
         for f in frames:
-            yield f.assign(output=f["path"].str.replace(".mp4", ".wav"), ok=True)
+            ok = f["path"].str.extract(r"(\d+)")[0].astype(int) % 7 != 3
+            yield f.assign(output=f["path"].str.replace(".mp4", ".wav").where(ok, None), ok=ok)
 
     return extract.normalize_media(c.documents.select(F.concat(F.lit("in/"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("path")), command)
 
@@ -33,14 +37,18 @@ def _(c):
     return captions.read_transcript(lines)
 
 
-@query("sink_overlay", "video_id:l frame_id:l size:l", "SELECT video_id, frame_id, count(*) AS size FROM blocks GROUP BY 1, 2")
+@query("sink_overlay", "video_id:l frame_id:l image:s", """SELECT video_id, frame_id, string_agg(CAST(x AS INTEGER) || ',' || CAST(y AS INTEGER) || ' ' || CASE WHEN confidence >= 0.8::DOUBLE THEN 'green' WHEN confidence >= 0.5::DOUBLE THEN 'yellow' ELSE 'red' END || ' ' || length(text), ';' ORDER BY block_ix) AS image FROM raw_blocks GROUP BY 1, 2""")
 def _(c):
+    """A stand-in for drawing: the corner, colour and length of every block as text."""
+
     def draw(frames):
         for f in frames:
-            yield f[["video_id", "frame_id"]].assign(image=[b"x" * n for n in f["n"]])
+            image = [";".join(f"{int(b['x'])},{int(b['y'])} {b['color']} {b['n']}" for b in blocks).encode() for blocks in f["blocks"]]
+            yield f[["video_id", "frame_id"]].assign(image=image)
 
-    drawn = report.overlay(c.blocks.groupBy("video_id", "frame_id").agg(F.count("*").alias("n")), draw)
-    return drawn.select("video_id", "frame_id", F.octet_length("image").alias("size"))
+    block = F.struct("block_ix", "x", "y", T.confidence_color(F.col("confidence")).alias("color"), F.length("text").alias("n"))
+    drawn = report.overlay(c.raw_blocks.groupBy("video_id", "frame_id").agg(F.array_sort(F.collect_list(block)).alias("blocks")), draw)
+    return drawn.withColumn("image", F.col("image").cast("string"))
 
 
 @query("rpt_css", "selector:s declarations:l", "SELECT unnest(['body', '.strip', '.strip i', '.chapter', '.gap', '.scene,.keyframe', 'td,th']) AS selector, unnest([3, 3, 3, 1, 1, 2, 2]) AS declarations")
