@@ -8,12 +8,22 @@ from pyspark.sql import functions as F
 from ..session import discard, fresh_path, materialize, ship  # noqa: F401  (for the operators)
 
 HASH_SPACE = 1 << 31
+#: Bytes of a usual row group.
+ROW_GROUP = 128 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, if they come of fewer files than there are cores and of less than a usual row group
+    each: Parquet is read by row groups, so that such a table would be one task's. A larger table stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * ROW_GROUP and len(df.inputFiles()) < cores else df
+
+
 def remainder(column, modulus: int):
     """crc32 of an id as text, modulo."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)

@@ -5,49 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontam, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, url_bloom, warc
-from ._common import ship, table
+from ._common import ship, spread, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return quality_gbt.quality_rules(docs, quality_gbt.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return site_style.extract(table(spark, sf_dir, "pages"))
+    return site_style.extract(spread(table(spark, sf_dir, "pages")))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return simhash_pivot.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash_pivot.near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return url_bloom.filter_urls(table(spark, sf_dir, "pages"), url_bloom.listed_table(spark))
+    return url_bloom.filter_urls(spread(table(spark, sf_dir, "pages")), url_bloom.listed_table(spark))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return token_prefix.count_tokens(table(spark, sf_dir, "documents"))
+    return token_prefix.count_tokens(spread(table(spark, sf_dir, "documents")))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return quality_qda.classify(docs, quality_qda.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return lang_svm.identify(docs, lang_svm.train(docs))
 
 
@@ -58,7 +58,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return warc.archive_round_trip(spread(table(spark, sf_dir, "pages")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ._common import materialize
+from ._common import discard, materialize
 from .components import components
 
 RADIUS = 2
@@ -137,8 +137,9 @@ def _close(a: str, b: str, radius: int):
     return reduce(lambda x, y: x & y, tests) & (F.bit_count(F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))) <= radius)
 
 
-def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """All pairs (a, b), a < b, of distinct fingerprints within the radius (0, 1 or 2). classes: a column fp."""
+def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, used: list | None = None) -> DataFrame:
+    """All pairs (a, b), a < b, of distinct fingerprints within the radius (0, 1 or 2). classes: a column fp. used: gets the
+    written tables that the pairs are read from."""
     if not 0 <= radius <= 2:
         raise ValueError("the blocks guarantee a radius of 2 at most")
     masks = [_mask(c) for c in combinations(BLOCKS, 4)]
@@ -149,6 +150,8 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     sizes = materialize(sizes, "block-sizes")
     shared = keyed.join(sizes, "key").select("key", "fp", "n")
     shared = materialize(shared, "block-members")
+    if used is not None:
+        used += [sizes, shared]
     few = shared.where(F.col("n") <= crowd).select("key", "fp", *pivot_table(F.col("fp")))
     pairs = few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & _close("a", "b", radius))
     pairs = pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
@@ -161,8 +164,9 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     return pairs.distinct()
 
 
-def alike(classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def alike(classes: DataFrame, similar: float = SIMILAR, used: list | None = None) -> DataFrame:
     """Pairs (a, b), a < b, of fingerprints whose classes have ``similar`` of their segments in common. classes: fp, segments.
+    used: as for ``links``.
 
     Only classes of which so many segments are shared with any other can be in such a pair. Each meets the leaders of the
     segments in its prefix; what is linked is verified, and copies of one text that are linked to one leader are linked."""
@@ -178,6 +182,8 @@ def alike(classes: DataFrame, similar: float = SIMILAR) -> DataFrame:
     heads = rare.groupBy("s").agg(F.count("*").alias("members"), *[F.min(F.col("fp").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"h{i}") for i, m in enumerate(LEADERS)]).where("members > 1")
     met = rare.join(heads, "s").select("fp", F.explode(F.array(*[f"h{i}" for i in range(len(LEADERS))])).alias("head")).where("fp <> head")
     pairs = materialize(met.select(F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b")).distinct(), "segment-pairs")
+    if used is not None:
+        used += [rare, pairs]
     both = pairs.join(full.select(F.col("fp").alias("a"), F.col("segments").alias("sa")), "a").join(full.select(F.col("fp").alias("b"), F.col("segments").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -189,12 +195,15 @@ def _classes(docs: DataFrame, radius: int, crowd: int, similar: float | None = N
     read = materialize(fingerprints(docs) if similar is None else sketches(docs), "fingerprints")
     fps = read.select("doc_id", "fp")
     classes = materialize(fps.groupBy("fp").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")), "classes")
-    pairs = materialize(links(classes.select("fp"), radius, crowd), "links")
+    used = [classes]
+    pairs = materialize(links(classes.select("fp"), radius, crowd, used), "links")
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(classes.select(F.col("fp").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("more"))
     linked = pairs
     if similar is not None:  # equal fingerprints can be of different texts: the least segments stand for them
-        linked = pairs.union(alike(materialize(read.groupBy("fp").agg(F.min("segments").alias("segments")), "class-segments"), similar))
+        own = materialize(read.groupBy("fp").agg(F.min("segments").alias("segments")), "class-segments")
+        linked = materialize(pairs.union(alike(own, similar, used)), "all-links")
+        used += [own, linked]
     roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = roots.join(classes.select(F.col("fp").alias("node"), "first"), "node")
     heads = named.groupBy("root").agg(F.min("first").alias("head"))
@@ -202,7 +211,10 @@ def _classes(docs: DataFrame, radius: int, crowd: int, similar: float | None = N
     full = classes.join(near.withColumnRenamed("a", "fp"), "fp", "left").join(of, "fp", "left").select(
         "fp", (F.col("size") - 1 + F.coalesce(F.col("more"), F.lit(0))).alias("n_near"), F.when(F.col("root").isNotNull(), F.col("head")).otherwise(F.col("first")).alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    return fps, materialize(full, "class-rows")
+    full = materialize(full, "class-rows")
+    for table in [*used, pairs]:
+        discard(table)
+    return fps, full
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
