@@ -80,10 +80,10 @@ def _hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, width: int,
     cost = np.where(y > 0, n / (2 * max((y > 0).sum(), 1)), n / (2 * max((y < 0).sum(), 1))) * p.cost
     w, a = np.zeros(width + 1), np.zeros(n)
     q = np.array([v @ v + 1 for _, v in rows]) + 1 / (2 * cost)
-    order = np.random.default_rng(7)
+    order, active = np.random.default_rng(7), np.ones(n, dtype=bool)
     for _ in range(p.epochs):
         most = 0.0
-        for i in order.permutation(n):
+        for i in order.permutation(np.flatnonzero(active)):
             k, v = rows[i]
             g = y[i] * (v @ w[k] + w[-1]) - 1 + a[i] / (2 * cost[i])
             step = max(a[i] - g / q[i], 0.0) - a[i]
@@ -92,8 +92,12 @@ def _hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, width: int,
                 a[i] += step
                 w[k] += step * y[i] * v
                 w[-1] += step * y[i]
+            elif a[i] == 0:
+                active[i] = False  # well on its side: left alone until the others have settled
         if most < 1e-4:
-            break
+            if active.all():
+                break
+            active[:] = True
     return w
 
 
@@ -117,8 +121,10 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], p: LangParams = LangPara
         weights[:-1, column], weights[-1, column] = w[:-1] / scale, w[-1]
 
     if len(families) > 1:
-        for j, f in enumerate(families):
+        for j, f in enumerate(families[:1] if len(families) == 2 else families):
             put(j, np.ones(len(rows), dtype=bool), family == f)
+        if len(families) == 2:  # one against the other is the same machine
+            weights[:, 1] = -weights[:, 0]
     for j, (a, b) in enumerate(pairs, len(families)):
         put(j, (lang == a) | (lang == b), lang == a)
     return LangModel(families, members, pairs, weights)
