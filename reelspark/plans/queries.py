@@ -228,14 +228,15 @@ def _(c):
     return e.join(after, "vec_id").select("vec_id", V.changed_share(F.col("embedding"), F.col("next"), 0.1).alias("share"))
 
 
-@query("fn_blur_score", "vec_id:l blur_score:d", """gray AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(0, least(255, CAST(trunc(x::DOUBLE * 127 + 128) AS INTEGER)))) AS g FROM embeddings)
-@@SELECT vec_id, list_var_pop(list_transform(range(64), lambda p: (g[CASE WHEN p < 8 THEN p + 8 ELSE p - 8 END + 1] + g[CASE WHEN p >= 56 THEN p - 8 ELSE p + 8 END + 1]
-  + g[CASE WHEN p % 8 = 0 THEN p + 1 ELSE p - 1 END + 1] + g[CASE WHEN p % 8 = 7 THEN p - 1 ELSE p + 1 END + 1] - 4 * g[p + 1])::DOUBLE)) AS blur_score FROM gray""")
+@query("fn_blur_score", "vec_id:l scaled:l", """gray AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(0, least(255, CAST(trunc(x::DOUBLE * 127 + 128) AS INTEGER)))) AS g FROM embeddings)
+@@SELECT vec_id, round(list_var_pop(list_transform(range(64), lambda p: (g[CASE WHEN p < 8 THEN p + 8 ELSE p - 8 END + 1] + g[CASE WHEN p >= 56 THEN p - 8 ELSE p + 8 END + 1]
+  + g[CASE WHEN p % 8 = 0 THEN p + 1 ELSE p - 1 END + 1] + g[CASE WHEN p % 8 = 7 THEN p - 1 ELSE p + 1 END + 1] - 4 * g[p + 1])::DOUBLE)) * 4096) AS scaled FROM gray""")
 def _(c):
-    """A vector as an image of 8 x 8 pixels."""
+    """A vector as an image of 8 x 8 pixels, whose score is a whole number of 4096ths."""
     e = c.table("embeddings").select("vec_id", F.transform("embedding", lambda x: F.least(F.greatest((x.cast("double") * 127 + 128).cast("int"), F.lit(0)), F.lit(255))).alias("g"))
     bytes_ = F.unhex(F.array_join(F.transform("g", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    return extract.blur_scores(e.select("vec_id", bytes_.alias("gray"), F.lit(8).alias("width")))
+    scored = extract.blur_scores(e.select("vec_id", bytes_.alias("gray"), F.lit(8).alias("width")))
+    return scored.select("vec_id", F.round(F.col("blur_score") * 4096).alias("scaled"))
 
 
 @query("ocr_conf_filter", "video_id:l frame_id:l block_ix:l confidence:d", "SELECT * FROM raw_blocks WHERE confidence >= 0.5::DOUBLE")

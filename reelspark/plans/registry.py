@@ -13,7 +13,7 @@ PLANS: dict[str, tuple[str, Callable[[Corpus], DataFrame], str | None]] = {}
 
 
 def query(name: str, columns: str, sql: str | None = None):
-    """columns: ``name:type`` with l long, d double (6 digits), s string, b boolean. sql: what follows the corpus; None
+    """columns: ``name:type`` with l long, d double (9 digits), s string, b boolean. sql: what follows the corpus; None
     where SQL can't say it."""
 
     def put(f):
@@ -28,7 +28,7 @@ def _fields(columns: str) -> list[tuple[str, str]]:
 
 
 def _typed(df: DataFrame, columns: str) -> DataFrame:
-    made = {"l": lambda c: c.cast("long"), "d": lambda c: F.round(c.cast("double"), 6), "s": lambda c: c.cast("string"), "b": lambda c: c.cast("boolean")}
+    made = {"l": lambda c: c.cast("long"), "d": lambda c: F.round(c.cast("double"), 9), "s": lambda c: c.cast("string"), "b": lambda c: c.cast("boolean")}
     return df.select(*[made[t](F.col(n)).alias(n) for n, t in _fields(columns)])
 
 
@@ -46,7 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    made = {"l": "CAST({0} AS BIGINT)", "d": "round(CAST({0} AS DOUBLE), 6)", "s": "CAST({0} AS VARCHAR)", "b": "CAST({0} AS BOOLEAN)"}
+    made = {"l": "CAST({0} AS BIGINT)", "d": "round(CAST({0} AS DOUBLE), 9)", "s": "CAST({0} AS VARCHAR)", "b": "CAST({0} AS BOOLEAN)"}
     out = {}
     for name, (columns, _, sql) in PLANS.items():
         if sql:
