@@ -12,8 +12,8 @@ A radius of two is narrow: a copy with one word in twenty changed lies eight bit
 group is to stay, classes can be linked by their segments as well (``alike``): a text is cut behind words whose hash says
 so, so that a changed word changes one segment or two, and classes are linked that have a share of their segments in
 common. Segments are ordered by rarity; of two such classes both have a common segment in their prefix (prefix filtering),
-where each class is compared with a few leaders of the segment only, so that a passage of very many documents makes as
-many comparisons, never all pairs."""
+where each class is compared with a few leaders of the segment, so that the copies of a text are connected without all
+their pairs. Only classes that are in different components after that are compared with each other, and then all of them."""
 
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -164,29 +164,73 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, used: li
     return pairs.distinct()
 
 
-def alike(classes: DataFrame, similar: float = SIMILAR, used: list | None = None) -> DataFrame:
-    """Pairs (a, b), a < b, of fingerprints whose classes have ``similar`` of their segments in common. classes: fp, segments.
-    used: as for ``links``.
-
-    Only classes of which so many segments are shared with any other can be in such a pair. Each meets the leaders of the
-    segments in its prefix; what is linked is verified, and copies of one text that are linked to one leader are linked."""
-    full = classes.where(F.size("segments") >= LEAST_SEGMENTS)
-    postings = full.select("fp", F.size("segments").alias("n"), F.explode("segments").alias("s"))
-    often = postings.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    shared = postings.join(often, "s").groupBy("fp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("own"))
+def _verified(pairs: DataFrame, full: DataFrame, similar: float) -> DataFrame:
+    """Of pairs (x, y) of ids the different fingerprints (a, b), a < b, of those that have the share in common. The segments of
+    x are shuffled for each pair, those of y only once, so that y may be in very many pairs."""
+    one = pairs.join(full.select(F.col("id").alias("x"), F.col("fp").alias("fx"), F.col("segments").alias("sx")), "x")
+    both = one.join(full.select(F.col("id").alias("y"), F.col("fp").alias("fy"), F.col("segments").alias("sy")), "y")
+    common = F.size(F.array_intersect("sx", "sy"))
+    found = both.where((F.col("fx") != F.col("fy")) & (common >= F.lit(similar) * (F.size("sx") + F.size("sy") - common)))
+    return found.select(F.least("fx", "fy").alias("a"), F.greatest("fx", "fy").alias("b")).distinct()
+
+
+def _named(ids: DataFrame, linked: DataFrame) -> DataFrame:
+    """id and root, a fingerprint of the component that the id's fingerprint has by these links."""
+    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "fp")
+    return materialize(ids.join(roots, "fp", "left").select("id", F.coalesce("root", "fp").alias("root")), "named")
+
+
+def _unmet(rare: DataFrame, named: DataFrame, similar: float, block: int, used: list) -> DataFrame:
+    """All pairs (x, y) of a common segment that aren't in one component and aren't ruled out by their sizes, nor by how many
+    segments they have from their first common one on. A segment of many is spread over tasks, a block of members against a block."""
+    rooted = rare.join(named, "id").select("id", "n", "rest", "s", "root")
+    several = rooted.groupBy("s").agg(F.count("*").alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
+    left = rooted.join(several.select("s", F.ceil(F.col("members") / block).cast("int").alias("parts")), "s")
+    left = materialize(left.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "open-segments")
+    used.append(left)
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    x = left.select("s", F.col("part").alias("p"), every.alias("q"), "id", "n", "rest", "root").alias("x")
+    y = left.select("s", every.alias("p"), F.col("part").alias("q"), "id", "n", "rest", "root").alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    near = (F.least("x.n", "y.n") >= similar * F.greatest("x.n", "y.n") - 1e-9) & (F.least("x.rest", "y.rest") >= similar / (1 + similar) * total - 1e-9)
+    same = reduce(lambda a, b: a & b, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("s", "p", "q")])
+    pairs = x.join(y, same & (F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & near)
+    return pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
+
+
+def alike(classes: DataFrame, similar: float = SIMILAR, used: list | None = None, linked: DataFrame | None = None, block: int = 2048) -> DataFrame:
+    """Pairs (a, b), a < b, of fingerprints whose classes have ``similar`` of their segments in common: enough of them that,
+    with the pairs ``linked``, all such classes are connected. classes: fp, segments, different rows. used: as for ``links``.
+
+    Only classes of which so many segments are shared with any other can be in such a pair, and both have a common segment in
+    their prefix. Each class first meets the leader that it has most of these in common with, then the other leaders that
+    aren't in its component yet. What is still in several components meets pair by pair (``_unmet``)."""
+    used = [] if used is None else used
+    # a chance collision of ids only mixes two prefixes
+    full = classes.where(F.size("segments") >= LEAST_SEGMENTS).select(F.xxhash64("fp", "segments").alias("id"), "fp", F.size("segments").alias("n"), "segments")
+    ids = full.select("id", "fp")
+    postings = full.select("id", "n", F.explode("segments").alias("s"))
+    shared = postings.withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1")
+    by_id = Window.partitionBy("id")
     # in the order of rarity the unshared segments come first
-    prefix = (F.floor((1 - similar) * F.col("n") + 1e-9) + 1 - (F.col("n") - F.size("own"))).cast("int")
-    rare = shared.withColumn("k", prefix).where("k > 0").select("fp", F.explode(F.slice("own", 1, F.col("k"))).alias("x")).select("fp", "x.s")
-    rare = materialize(rare, "rare-segments")
-    # the least fingerprint under a mask leads; masks are undone by themselves
-    heads = rare.groupBy("s").agg(F.count("*").alias("members"), *[F.min(F.col("fp").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"h{i}") for i, m in enumerate(LEADERS)]).where("members > 1")
-    met = rare.join(heads, "s").select("fp", F.explode(F.array(*[f"h{i}" for i in range(len(LEADERS))])).alias("head")).where("fp <> head")
-    pairs = materialize(met.select(F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b")).distinct(), "segment-pairs")
-    if used is not None:
-        used += [rare, pairs]
-    both = pairs.join(full.select(F.col("fp").alias("a"), F.col("segments").alias("sa")), "a").join(full.select(F.col("fp").alias("b"), F.col("segments").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    placed = shared.withColumn("at", F.row_number().over(by_id.orderBy("df", "s"))).withColumn("own", F.count("*").over(by_id))
+    rare = placed.where(F.col("at") <= F.floor((1 - similar) * F.col("n") + 1e-9) + 1 - (F.col("n") - F.col("own")))
+    rare = materialize(rare.select("id", "n", (F.col("own") - F.col("at") + 1).alias("rest"), "s"), "rare-segments")
+    # the least id under a mask leads; masks are undone by themselves
+    heads = rare.groupBy("s").agg(F.count("*").alias("members"), *[F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"h{i}") for i, m in enumerate(LEADERS)]).where("members > 1")
+    met = rare.join(heads, "s").select(F.col("id").alias("x"), F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(len(LEADERS))]))).alias("y")).where("x <> y")
+    pairs = materialize(met.groupBy("x", "y").agg(F.count("*").alias("times")), "segment-pairs")
+    best = pairs.groupBy("x").agg(F.max(F.struct("times", "y")).alias("m")).select("x", "m.y")
+    found = materialize(_verified(best, full, similar), "best-links")
+    used += [rare, pairs, found]
+    known = found if linked is None else linked.union(found)
+    named = _named(ids, known)
+    apart = pairs.join(named.select(F.col("id").alias("x"), F.col("root").alias("rx")), "x").join(named.select(F.col("id").alias("y"), F.col("root").alias("ry")), "y")
+    more = materialize(_verified(apart.where("rx <> ry").select("x", "y"), full, similar), "leader-links")
+    again = _named(ids, known.union(more))
+    candidates = materialize(_unmet(rare, again, similar, block, used), "unmet")
+    used += [named, more, again, candidates]
+    return found.union(more).union(_verified(candidates, full, similar))
 
 
 def _classes(docs: DataFrame, radius: int, crowd: int, similar: float | None = None) -> tuple[DataFrame, DataFrame]:
@@ -200,9 +244,9 @@ def _classes(docs: DataFrame, radius: int, crowd: int, similar: float | None = N
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(classes.select(F.col("fp").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("more"))
     linked = pairs
-    if similar is not None:  # equal fingerprints can be of different texts: the least segments stand for them
-        own = materialize(read.groupBy("fp").agg(F.min("segments").alias("segments")), "class-segments")
-        linked = materialize(pairs.union(alike(own, similar, used)), "all-links")
+    if similar is not None:  # equal fingerprints can be of different texts, each of which has links
+        own = materialize(read.select("fp", "segments").distinct(), "class-segments")
+        linked = materialize(pairs.union(alike(own, similar, used, pairs)), "all-links")
         used += [own, linked]
     roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = roots.join(classes.select(F.col("fp").alias("node"), "first"), "node")

@@ -225,6 +225,35 @@ def test_changed_copies_are_linked_and_others_are_not(spark):
     assert sum(i not in narrow for i in gone) < 0.5 * len(gone)
 
 
+@pytest.mark.parametrize("block", [2048, 7])
+def test_segments_connect_as_brute_force(spark, block):
+    """Many classes around the threshold share few segments, so that leaders alone miss links; equal fingerprints of different texts."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(6):
+        pool = rng.integers(-(1 << 62), 1 << 62, 26).tolist()
+        for _ in range(40):
+            own = rng.choice(26, int(rng.integers(8, 18)), replace=False)
+            rows.append((len(rows) // 2 * 2 if len(rows) % 9 == 1 else len(rows), sorted(pool[i] for i in own)))
+    sets, parent = [(f, set(x)) for f, x in rows], {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    def join(pairs):
+        parent.clear()
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+        return {f: find(f) for f, _ in rows}
+
+    every = {(min(f, g), max(f, g)) for f, x in sets for g, y in sets if f != g and jaccard(x, y) >= simhash_pivot.SIMILAR}
+    got = {(r["a"], r["b"]) for r in simhash_pivot.alike(spark.createDataFrame(rows, "fp long, segments array<long>"), block=block).collect()}
+    assert got <= every and join(got) == join(every) and 6 < len(set(join(every).values())) < len(rows)
+
+
 # --- token counts
 
 
