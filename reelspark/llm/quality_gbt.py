@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import docstats
+from ._common import slices
 from .labelled import SAMPLE_ROWS, training_rows
 
 #: -1: the score never rises with the statistic; 1: it never falls.
@@ -166,7 +167,7 @@ def keep_documents(docs: DataFrame, forest: Forest, p: GbtParams = GbtParams())
     place = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, place):
             texts = batch.column(place).cast(pa.binary()).to_pylist()
             c = np.array([docstats.counts(x) for x in texts], dtype=np.int64).reshape(-1, len(docstats.COUNTS))
             yield batch.filter(pa.array(judge(c, forest, p)[1]))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ._common import discard, materialize
+from ._common import discard, materialize, slices
 from .components import components
 
 RADIUS = 2
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the 64 bits as a long) of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             fp = np.array([fingerprint(x) for x in batch.column("_text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
 
@@ -99,18 +99,18 @@ class Segmenter:
         return sorted(out)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and segments (hashes) of every row, in one pass over the texts."""
+def _sketch(batches):
+    segments = Segmenter()
+    for batch in slices(batches, "_text"):
+        texts = batch.column("_text").to_pylist()
+        fp = np.array([fingerprint(x) for x in texts], dtype=np.uint64).view(np.int64)
+        own = [np.array(segments(x), dtype=np.uint64).view(np.int64) for x in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "fp", "segments"])
 
-    def run(batches):
-        segments = Segmenter()
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            fp = np.array([fingerprint(x) for x in texts], dtype=np.uint64).view(np.int64)
-            own = [np.array(segments(x), dtype=np.uint64).view(np.int64) for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp), pa.array(own, pa.list_(pa.int64()))], ["doc_id", "fp", "segments"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text")).mapInArrow(run, "doc_id long, fp long, segments array<long>")
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, fp and segments (hashes) of every row, in one pass over the texts."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_text")).mapInArrow(_sketch, "doc_id long, fp long, segments array<long>")
 
 
 def _signed(x: int) -> int:
@@ -285,7 +285,7 @@ def keep_representatives(docs: DataFrame, radius: int = RADIUS, crowd: int = CRO
         return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             fp = np.array([fingerprint(x) for x in batch.column("_text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(fp)], ["_row", "fp"])
 

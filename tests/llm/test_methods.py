@@ -7,6 +7,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelspark.llm import components, decontam, docstats, entries, labelled, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
+from reelspark.llm import _common, components, decontam, docstats, entries, labelled, lang_svm, pfair_mix, quality_gbt, quality_qda, simhash_pivot, site_style, token_prefix, warc
 from reelspark.llm._common import remainder
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -254,6 +255,19 @@ def test_segments_connect_as_brute_force(spark, block):
     assert got <= every and join(got) == join(every) and 6 < len(set(join(every).values())) < len(rows)
 
 
+def test_texts_of_a_batch_are_not_held_at_once():
+    texts = [b"some words of text %d " % i * 150 for i in range(6000)] + [None, b"", b"long " * 600_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], ["doc_id", "_text"])
+    ids, most = [], 0
+    for out in simhash_pivot._sketch([batch.slice(0, 6002)]):
+        ids += out.column("doc_id").to_pylist()
+        most = max(most, out.num_rows)
+    assert ids == list(range(6002)) and most < 1500
+    parts = list(_common.slices([batch, batch.slice(0, 0)], "_text"))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and parts[-1].num_rows == 1
+    assert all(sum(len(x or b"") for x in p.column(1).to_pylist()) <= _common.SLICE_BYTES for p in parts[:-1])
+
+
 # --- token counts
 
 
