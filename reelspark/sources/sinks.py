@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_jsonl(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> str:
+    df.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression).json(path)
     return path
 
 
@@ -16,11 +16,17 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_json_per_video(df: DataFrame, path: str, order: str, name: str = "items") -> str:
-    """One JSON document per video, of its rows in order: a video's rows are the unit that is gathered, never a table."""
+def write_json_per_video(df: DataFrame, path: str, order: str, name: str = "items", folders: bool = True) -> str:
+    """One JSON document per video, of its rows in order: a video's rows are the unit that is gathered, never a table. With
+    ``folders`` each lies in the folder of its video; without, the documents are the lines of a compressed file per task, as
+    hundreds of thousands of files take far longer to commit and to list than to write."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.struct(*df.columns).alias("r"))))
     doc = df.groupBy("video_id").agg(F.transform(rows, lambda x: x["r"]).alias(name))
-    doc.select("video_id", F.to_json(F.struct("video_id", F.size(name).alias(f"total_{name}"), name), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").partitionBy("video_id").text(path)
+    lines = doc.select("video_id", F.to_json(F.struct("video_id", F.size(name).alias(f"total_{name}"), name), {"ignoreNullFields": "false"}).alias("value"))
+    if folders:
+        lines.write.mode("overwrite").partitionBy("video_id").text(path)
+    else:
+        lines.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
     return path
 
 
