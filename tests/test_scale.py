@@ -4,12 +4,14 @@ import os
 
 import pytest
 
+from reelspark.operators import ocr
 from reelspark.plans import extensions as _e  # noqa: F401
 from reelspark.plans import more as _m  # noqa: F401
 from reelspark.plans import queries as _q  # noqa: F401
 from reelspark.plans import registry
 from reelspark.plans import review as _r  # noqa: F401
 from reelspark.session import shared_dir
+from reelspark.sources.adapter import Corpus
 
 QUERIES = registry.queries()
 
@@ -26,3 +28,21 @@ def test_documents_of_many_videos_are_lines_of_compressed_files(spark, smallest,
     QUERIES[name](spark, smallest).count()
     new = set(written(spark, label)) - before
     assert new and all(f.endswith(".gz") and "video_id=" not in f for f in new)
+
+
+def plan(df) -> list[str]:
+    return df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+
+
+def test_tokens_of_frames_are_never_keys_with_their_frame(spark):
+    rows = [(1, 0, "a b a"), (1, 0, "B c"), (1, 1, "a"), (1, 1, None), (2, 0, "x")]
+    found = ocr.chrome_tokens(spark.createDataFrame(rows, "video_id long, frame_id int, text string"), 0.5, "frames")
+    assert {tuple(r) for r in found.collect()} == {(1, "a", 2), (1, "b", 1), (1, "c", 1), (2, "x", 1)}
+    grouped = [x.split("], [")[0] for x in plan(found) if "Aggregate [" in x]
+    assert grouped and not any("frame_id" in x and "token" in x for x in grouped)
+
+
+def test_the_screen_is_spread_by_its_size(spark, smallest):
+    c = Corpus(spark, smallest)
+    assert any("RepartitionByExpression" in x for x in plan(c.screen))
+    assert c._partitions(1, 1000) > c._partitions(1, 100_000)
