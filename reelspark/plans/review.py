@@ -105,10 +105,10 @@ def _(c):
 ranked AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY total_text_chars DESC, grp) AS rank, row_number() OVER (PARTITION BY video_id ORDER BY total_text_chars, grp DESC) AS up FROM dens)
 @@SELECT *, 'richest' AS list FROM ranked WHERE rank <= 3 UNION ALL SELECT *, 'thinnest' FROM ranked WHERE up <= 3""")
 def _(c):
-    groups, blocks = _groups(c), c.kept_blocks
+    groups, blocks = _groups(c), c.kept_blocks(c.keyframes)
     chars = ocr.screen_chars(chunking.join_keyframes(groups, c.keyframes), blocks, ocr.chrome_tokens(blocks))
     named = chunking.with_ids(groups, c.chapters)
-    return validate.content_density(named.join(chunking.speech_chars(groups, c.segments), ["video_id", "grp"], "left").join(chars, ["video_id", "grp"], "left"))
+    return validate.content_density(named.join(chunking.speech_chars(groups, c._with_text(c.spoken)), ["video_id", "grp"], "left").join(chars, ["video_id", "grp"], "left"))
 
 
 @query("report_assemble", "video_id:l duration_s:l coverage_pct:d verdict:s scenes:l keyframes:l segments:l chunks:l gaps:l", _WIN + ", " + _KG + """@@SELECT v.video_id, v.duration_s, p.coverage_pct, CASE WHEN p.coverage_pct >= 90 THEN 'PASS' WHEN p.coverage_pct >= 70 THEN 'PARTIAL' ELSE 'FAIL' END AS verdict,
