@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import QA_PAIRS
+from ..session import slices
 
 FENCE = "```"
 
@@ -59,19 +60,37 @@ def template_replies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def generate(chunks: DataFrame, generator: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] = template_replies) -> DataFrame:
-    """Pairs of all chunks. ``generator`` gets frames of chunk_id, prompt, asr_text, ocr_text and gives chunk_id, reply;
-    a frame on which it fails is tried chunk by chunk, and a chunk on which it fails has no pairs."""
-
-    def run(frames):
-        for f in frames:
-            try:
-                yield from list(generator(iter([f])))
-            except Exception:
-                for i in range(len(f)):
-                    try:
-                        yield from list(generator(iter([f.iloc[i : i + 1]])))
-                    except Exception:
-                        yield f.iloc[i : i + 1][["chunk_id"]].assign(reply="[]")
-
-    asked = chunks.select("chunk_id", prompt(F.col("chapter_title"), F.col("t_start_ms"), F.col("t_end_ms"), F.col("asr_text"), F.col("ocr_text")).alias("prompt"), "asr_text", "ocr_text")
-    return attach_chunk(parse_pairs(asked.mapInPandas(run, "chunk_id string, reply string")), chunks)
+    """Pairs of all chunks, with the public columns of ``attach_chunk``. ``generator`` gets frames of chunk_id, prompt,
+    asr_text, ocr_text and gives chunk_id, reply; a frame on which it fails is tried chunk by chunk, and a chunk on which it
+    fails has no pairs. Frames are of bounded bytes, and a reply gets the other columns of its chunk in the frame that it
+    comes of, so that the chunks are made once and never joined."""
+    sees, keys = ["chunk_id", "prompt", "asr_text", "ocr_text"], ["t_start_ms", "t_end_ms", "chapter_title", "video_id"]
+
+    def replies(f: pd.DataFrame) -> list[pd.DataFrame]:
+        try:
+            return list(generator(iter([f])))
+        except Exception:
+            if len(f) > 1:
+                return [r for i in range(len(f)) for r in replies(f.iloc[i : i + 1])]
+            return [f[["chunk_id"]].assign(reply="[]")]
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in slices(batches, "prompt"):
+            f = batch.select(sees).to_pandas()
+            for r in replies(f):
+                reply = pa.RecordBatch.from_pandas(r[["chunk_id", "reply"]], pa.schema([("chunk_id", pa.string()), ("reply", pa.string())]), preserve_index=False)
+                of: dict = {}
+                for i, x in enumerate(batch.column("chunk_id").to_pylist()):
+                    of.setdefault(x, []).append(i)
+                # as a join would: a repeated chunk_id takes each reply to it, one that isn't in the frame none
+                pairs = [(i, j) for j, x in enumerate(reply.column("chunk_id").to_pylist()) if x is not None for i in of.get(x, ())]
+                own, said = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pc.take(reply.column(n), said) for n in ("chunk_id", "reply")] + [pc.take(batch.column(n), own) for n in keys], ["chunk_id", "reply", *keys])
+
+    asked = chunks.select("chunk_id", prompt(F.col("chapter_title"), F.col("t_start_ms"), F.col("t_end_ms"), F.col("asr_text"), F.col("ocr_text")).alias("prompt"), "asr_text", "ocr_text", *keys)
+    types = {f.name: f.dataType.simpleString() for f in asked.schema}
+    made = asked.mapInArrow(run, "chunk_id string, reply string, " + ", ".join(f"{k} {types[k]}" for k in keys))
+    return parse_pairs(made).select("chunk_id", "question", "answer", "evidence_type", *keys)
