@@ -62,22 +62,29 @@ def blur_score(pixels: pd.Series, width: pd.Series) -> pd.Series:
 
 def hash_embedding(dim: int):
     """A deterministic stand-in for a text model: hashed tokens, unit length. Null is embedded as ''. A token's first 32
-    bits of MD5 choose its place, and the highest of them its sign."""
+    bits of MD5 choose its place, and the highest of them its sign. A worker holds a slice of the texts, and of the vectors,
+    as Python's objects; the rest of a batch stays as Arrow has it."""
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def embed(texts: pd.Series) -> pd.Series:
+    import pyarrow as pa
+
+    def embed(texts):
         import hashlib
 
         import numpy as np
 
-        out = []
-        for t in texts:
-            v = np.zeros(dim)
-            for w in (t or "").lower().split():
-                h = int(hashlib.md5(w.encode("utf-8", "replace")).hexdigest()[:8], 16)
-                v[h % dim] += 1 if h >> 31 else -1
-            n = np.linalg.norm(v)
-            out.append((v / n if n else v).astype("float32").tolist())
-        return pd.Series(out)
-
-    return embed
+        from ..session import slices
+
+        out = [pa.array([], pa.list_(pa.float32()))]
+        for part in slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t"):
+            m = np.zeros((part.num_rows, dim))
+            for v, t in zip(m, part.column("t").to_pylist()):
+                for w in (t or "").lower().split():
+                    h = int(hashlib.md5(w.encode("utf-8", "replace")).hexdigest()[:8], 16)
+                    v[h % dim] += 1 if h >> 31 else -1
+                n = np.linalg.norm(v)
+                v /= n or 1.0
+            out.append(pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * dim, m.astype(np.float32).ravel()))
+        return pa.concat_arrays(out)
+
+    embed.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(embed, T.ArrayType(T.FloatType()))
