@@ -11,6 +11,8 @@ from ..functions import vectors as V
 
 #: Most bytes of query vectors that are sent to the executors at once.
 QUERY_BYTES = 32 << 20
+#: Most scores that a worker holds at once, unless a single point has more.
+SCORES = 2 << 20
 
 
 def mean_pool(frames: DataFrame, keys: tuple[str, ...], vector: str = "embedding") -> DataFrame:
@@ -57,8 +59,8 @@ def search(points: DataFrame, query: list[float], k: int = 5, vector: str = "emb
 def search_batch(points: DataFrame, queries: DataFrame, k: int = 5, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id", most_bytes: int = QUERY_BYTES) -> DataFrame:
     """The k best points by cosine for every query of a stated set; ties by key. Keys are whole numbers.
 
-    Queries go over the points in parts of at most ``most_bytes``, each of checked size and sent to all executors once: a
-    batch of points is one matrix product, of which only its k best of each query go on. Repeated keys are rows like
+    Queries go over the points in parts of at most ``most_bytes``, each of checked size and sent to all executors once: so
+    many points as make SCORES scores are one matrix product, of which only what reaches the k best so far of a query is sorted. Repeated keys are rows like
     others; a zero vector has cosine 0 with everything; vectors of another length than the first query's are an error."""
     unit = lambda df, name: df.select(F.col(name).cast("long").alias("_key"), V.normalized(F.col(vector)).alias("_v"))
     q = unit(queries, query_key).where("_key is not null")
@@ -87,26 +89,30 @@ def _nearest(shipped, k: int, names: tuple[str, ...]):
 
     def run(batches):
         ids, matrix = shipped.value
-        held = None  # for each query the keys and scores of its best so far
+        rows, best, found = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)  # query, score and key of the best so far
+        floor = np.full(len(ids), -np.inf)  # what a score has to reach
         for batch in batches:
             if not len(ids) or not batch.num_rows:
                 continue
             mask = [v is not None for v in batch.column("_v").to_pylist()]
             batch = batch.filter(pa.array(mask)) if not all(mask) else batch
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, max(1, min(1024, SCORES // len(ids)) if len(rows) else min(k, SCORES // len(ids))))
+                at += part.num_rows
                 keys, vectors = _matrix(part.column("_key"), part.column("_v"))
-                if not len(keys):
-                    continue
-                scores = np.round(matrix @ vectors.T, 12)  # so that equal vectors tie
-                named = np.broadcast_to(keys, scores.shape)
-                if held is not None:
-                    named, scores = np.concatenate([held[0], named], axis=1), np.concatenate([held[1], scores], axis=1)
-                order = np.lexsort((named, -scores), axis=1)[:, :k]
-                held = np.take_along_axis(named, order, axis=1), np.take_along_axis(scores, order, axis=1)
-        if held is not None:
-            n = held[0].shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(held[0].ravel()), pa.array(held[1].ravel())], list(names))
+                scores = matrix @ vectors.T
+                np.round(scores, 12, out=scores)  # so that equal vectors tie
+                q, p = np.nonzero(~(scores < floor[:, None]))
+                rows, best, found = np.concatenate([rows, q]), np.concatenate([best, scores[q, p]]), np.concatenate([found, keys[p]])
+                order = np.lexsort((found, -best, rows))
+                place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+                order = order[place < k]
+                rows, best, found = rows[order], best[order], found[order]
+                full = place[place < k] == k - 1
+                floor[rows[full]] = best[full]
+        if len(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(found), pa.array(best)], list(names))
 
     return run
 
